@@ -28,4 +28,4 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from latebird.catalog import relational, sources  # noqa: F401
+    from latebird.catalog import features, models, relational, sources  # noqa: F401

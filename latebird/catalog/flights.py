@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from latebird.functions.bucket import BUCKETS, bucket
+from latebird.session import stage_table
 
 _PARTS = """
 k AS (
@@ -56,7 +57,10 @@ FROM m
 )"""
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+_staged: dict[tuple[str, str], DataFrame] = {}
+
+
+def derive_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _PARTS.replace("{dow}", "extract(DAYOFWEEK_ISO FROM l_shipdate)")
     return spark.sql(
         f"WITH {parts} SELECT * FROM flights",
@@ -64,6 +68,25 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight table, written once per session and data directory.
+
+    Real flights are a stored table. Reading one keeps the queries' plans about
+    the queries: filters and column lists reach the scan, where over the long
+    expressions above they would be multiplied into methods that the JVM
+    refuses to compile.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _staged:
+        derived = derive_flights(spark, sf_dir)
+        # A small file comes as one task; many row groups are left as they are.
+        cores = spark.sparkContext.defaultParallelism
+        if derived.rdd.getNumPartitions() < cores:
+            derived = derived.repartition(cores)
+        _staged[key] = stage_table(derived, "flights")[0]
+    return _staged[key]
+
+
 def check_sql(body: str, *ctes: str) -> str:
     """Check SQL: `body` may read `flights` and the given further CTEs."""
     parts = _PARTS.replace("{dow}", "extract(isodow FROM l_shipdate)").replace(

@@ -116,15 +116,23 @@ def top_feature_selector(
     return selector.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(k)
 
 
-def feature_names(df: DataFrame, column: str = FEATURES) -> list[str]:
-    """Names of a vector column's slots, from its ML metadata."""
+def feature_names(
+    df: DataFrame, column: str = FEATURES, numerics: Sequence[str] = ()
+) -> list[str]:
+    """Names of a vector column's slots, from its ML metadata. Scaling leaves
+    the numerics as numbered slots; `numerics` gives them their names back."""
     groups = df.schema[column].metadata["ml_attr"]["attrs"]
-    slots = [slot for group in groups.values() for slot in group]
-    return [slot.get("name", str(slot["idx"])) for slot in sorted(slots, key=lambda s: s["idx"])]
+    slots = sorted((slot for group in groups.values() for slot in group), key=lambda s: s["idx"])
+    renamed = {f"{NUMERIC_SCALED}_{i}": name for i, name in enumerate(numerics)}
+    names = [slot.get("name", str(slot["idx"])) for slot in slots]
+    return [renamed.get(name, name) for name in names]
 
 
 def selected_features(
-    model: UnivariateFeatureSelectorModel, df: DataFrame, label: str = LABEL
+    model: UnivariateFeatureSelectorModel,
+    df: DataFrame,
+    numerics: Sequence[str] = (),
+    label: str = LABEL,
 ) -> DataFrame:
     """The chosen slots as rows (index, name, f_value).
 
@@ -132,10 +140,10 @@ def selected_features(
     one aggregation over the chosen slots, so the wide vector stays sparse.
     """
     chosen = sorted(model.selectedFeatures)
-    names = feature_names(df, model.getFeaturesCol())
+    names = feature_names(df, model.getFeaturesCol(), numerics)
     slots = vector_to_array(F.col(model.getOutputCol()))
     wide = (
-        model.transform(df)
+        model.transform(df.select(label, model.getFeaturesCol()))
         .select(
             F.col(label).cast("double").alias("y"),
             *[slots[place].alias(f"x{i}") for place, i in enumerate(chosen)],

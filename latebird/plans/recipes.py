@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline
-from pyspark.ml.base import PipelineStage
+from pyspark.ml.base import Estimator, Transformer
 
 from latebird.operators import encoding
 from latebird.plans import stages
 from latebird.schema import LABEL, REQUIRED_COLUMNS
 
+Stage = Estimator | Transformer
+
 
 @dataclass(frozen=True)
 class Recipe:
@@ -35,7 +37,7 @@ class Recipe:
         """The recipe with the reference results' constant TaxiOut."""
         return self if self.taxi_fill == "none" else replace(self, taxi_fill="batch")
 
-    def row_stages(self, require_label: bool = True) -> list[PipelineStage]:
+    def row_stages(self, require_label: bool = True) -> list[Stage]:
         """Stages that look at one row at a time (with "batch", also at the
         batch's median). Nothing is learnt here."""
         required = [c for c in self.required if require_label or c != LABEL]
@@ -54,9 +56,9 @@ class Recipe:
             steps += [stages.split_clock_stage(), stages.drop_clock_stage()]
         return steps
 
-    def encoder_stages(self) -> list[PipelineStage]:
+    def encoder_stages(self) -> list[Stage]:
         """Stages that learn from the training rows."""
-        steps: list[PipelineStage] = []
+        steps: list[Stage] = []
         if self.taxi_fill == "fitted":
             steps.append(encoding.MedianFill(["TaxiOut"]))
         assembled = encoding.ALL_FEATURES if self.top_features else encoding.FEATURES
@@ -71,7 +73,7 @@ class Recipe:
             steps.append(encoding.top_feature_selector(self.top_features))
         return steps
 
-    def workflow(self, *extra: PipelineStage, require_label: bool = True) -> Pipeline:
+    def workflow(self, *extra: Stage, require_label: bool = True) -> Pipeline:
         """The unfitted pipeline from raw flights to features, then `extra`."""
         return Pipeline(stages=self.row_stages(require_label) + self.encoder_stages() + list(extra))
 
