@@ -34,6 +34,8 @@ from latebird.session import drop_staged, shared_dir, stage_table
 
 DEFAULT_SEED = 89
 FOLD = "fold"
+# Integers that make up a fold number; more would only lengthen the expression.
+FOLD_INTEGERS = 10
 
 
 def decision_tree(seed: int = DEFAULT_SEED, **params: Any) -> DecisionTreeRegressor:
@@ -143,7 +145,7 @@ def with_fold(df: DataFrame, folds: int, seed: int = DEFAULT_SEED) -> DataFrame:
     """Add a fold number made of the row's integers. It stays the same when a
     task re-runs elsewhere, which a random draw over shuffled rows does not."""
     integers = [f.name for f in df.schema.fields if isinstance(f.dataType, IntegerType)]
-    return df.withColumn(FOLD, F.expr(fold(seed + 1, folds, integers)))
+    return df.withColumn(FOLD, F.expr(fold(seed + 1, folds, integers[:FOLD_INTEGERS])))
 
 
 def _fit_all(
