@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from latebird.schema import FLIGHT_SCHEMA
+from latebird.schema import FLIGHT_COLUMNS
 
 NULL_TOKEN = "NA"
 
@@ -17,21 +17,25 @@ def read_flights_csv(
     path: str | Sequence[str],
     *,
     infer: bool = False,
-    schema: T.StructType = FLIGHT_SCHEMA,
     null_token: str = NULL_TOKEN,
 ) -> DataFrame:
     """Read headed flight CSVs: one file, several files, a glob or a directory.
 
-    The declared schema spares the extra pass that inference makes over the
-    whole input and keeps types equal between batches. `enforceSchema=False`
-    makes Spark compare every file's header with it, so a file whose columns
-    are in another order fails instead of filling the wrong columns.
-    `infer=True` takes names from the header and types from the data.
+    Column names come from the header, types from the declared columns; an
+    undeclared column is text. Only a header line is read for that, where
+    `infer=True`, which takes the types from the data, reads the whole input an
+    extra time and may give batches different types. `enforceSchema=False`
+    makes Spark compare every file's header, so a file whose columns are in
+    another order than the first one's fails instead of filling wrong columns.
     """
     paths = path if isinstance(path, str) else list(path)
     reader = spark.read.option("header", True).option("nullValue", null_token)
     if infer:
         return reader.option("inferSchema", True).csv(paths)
+    header = reader.csv(paths).columns
+    schema = T.StructType(
+        [T.StructField(name, FLIGHT_COLUMNS.get(name, T.StringType())) for name in header]
+    )
     return reader.option("enforceSchema", False).schema(schema).csv(paths)
 
 

@@ -1,0 +1,172 @@
+"""Training, cross-validation, comparison, scoring."""
+
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import functions as F
+
+from latebird.operators import cleaning, metrics
+from latebird.plans import training
+from latebird.plans.recipes import COMPACT, DETAILED, RECIPES, SELECTED
+from latebird.plans.scoring import load_model, save_model, score_batch, score_files
+from latebird.session import drop_staged, shared_dir, stage_table
+from latebird.sources import write_flights_csv
+
+
+@pytest.fixture(scope="module")
+def parts(flights):
+    return cleaning.hash_split(flights)
+
+
+def _report(predictions):
+    return {r["metric"]: r["value"] for r in metrics.evaluation_report(predictions).collect()}
+
+
+def _same_predictions(a, b):
+    a, b = (
+        d.select("ArrDelay", F.round("prediction", 9).alias("prediction")) for d in (a, b)
+    )
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def tree(parts):
+    return training.train_model(parts[0], training.decision_tree(maxDepth=4))
+
+
+def test_tree_beats_the_mean(parts, tree):
+    report = _report(score_batch(tree, parts[1]))
+    assert report["R2"] > 0.8
+
+
+def test_train_model_equals_the_plain_pipeline(parts, tree):
+    train, test = parts
+    plain = DETAILED.workflow(training.decision_tree(maxDepth=4)).fit(train)
+    assert _same_predictions(
+        plain.transform(test), score_batch(tree, test, require_label=True)
+    )
+
+
+@pytest.mark.parametrize("name", sorted(RECIPES))
+def test_every_recipe_trains_and_scores(parts, name):
+    recipe = RECIPES[name]
+    train, test = parts
+    if recipe.invalid_numerics == "error":
+        needed = ["TaxiOut", "DepDelay", "CRSElapsedTime"]
+        train, test = train.dropna(subset=needed), test.dropna(subset=needed)
+    model = training.train_model(train, training.decision_tree(maxDepth=3), recipe)
+    assert _report(score_batch(model, test))["R2"] > 0.5
+
+
+def test_selected_recipe_keeps_twenty_features(parts):
+    train = parts[0].dropna(subset=["TaxiOut", "DepDelay", "CRSElapsedTime"])
+    model = training.train_model(train, training.decision_tree(maxDepth=2), SELECTED)
+    assert model.stages[-1].numFeatures == 20
+
+
+def test_parity_recipe_makes_taxi_time_constant(flights):
+    rows = training.model_rows(flights, DETAILED.parity())
+    assert rows.select("TaxiOut").distinct().count() == 1
+    assert training.model_rows(flights, DETAILED).select("TaxiOut").distinct().count() > 1
+
+
+def test_unlabelled_flights_are_scored_but_not_evaluated(flights, tree):
+    unlabelled = flights.where("ArrDelay IS NULL AND Cancelled = 0")
+    scored = score_batch(tree, unlabelled)
+    assert scored.where("prediction IS NOT NULL").count() > 0
+    assert score_batch(tree, unlabelled, require_label=True).isEmpty()
+
+
+def test_saved_model_predicts_the_same(parts, tree, tmp_path):
+    path = str(tmp_path / "model")
+    save_model(tree, path)
+    save_model(tree, path)
+    assert _same_predictions(
+        score_batch(load_model(path), parts[1]), score_batch(tree, parts[1])
+    )
+
+
+def test_saved_model_needs_no_class_of_ours(tree):
+    assert all(type(s).__module__.startswith("pyspark.") for s in tree.stages)
+
+
+def test_score_files(spark, parts, tree, tmp_path):
+    save_model(tree, str(tmp_path / "model"))
+    write_flights_csv(parts[1], str(tmp_path / "in"))
+    result = score_files(
+        spark, str(tmp_path / "in"), str(tmp_path / "model"), str(tmp_path / "out")
+    )
+    assert {"features", "num_features_scaled", "prediction"} <= set(result.predictions.columns)
+    assert result.sample.count() == 10
+    expected = _report(score_batch(tree, parts[1]))
+    got = {r["metric"]: r["value"] for r in result.report.collect()}
+    assert got == pytest.approx(expected)
+
+
+def test_grids_have_the_stated_sizes():
+    def points(size):
+        return [len(c.grid) for c in training.candidates(size)]
+
+    assert points("single") == [1, 1, 1]
+    assert points("exploratory") == [2, 4, 2]
+    assert points("full") == [4, 4, 4]
+
+
+@pytest.fixture(scope="module")
+def folded(spark, parts):
+    rows, path = stage_table(training.with_fold(training.model_rows(parts[0], COMPACT), 3), "t")
+    yield rows
+    drop_staged(spark, path)
+
+
+def test_folds_are_even(folded):
+    counts = [r["count"] for r in folded.groupBy("fold").count().collect()]
+    assert len(counts) == 3
+    assert max(counts) < 1.1 * min(counts)
+
+
+def test_cross_validation_equals_sparks_own_on_the_same_folds(folded):
+    tree = training.decision_tree()
+    grid = training.param_grid(tree, {"maxDepth": [2, 4]})
+    ours = training.cross_validate(
+        folded, COMPACT, [training.Candidate("tree", tree, grid)], parallelism=2
+    )
+    theirs = CrossValidator(
+        estimator=Pipeline(stages=COMPACT.encoder_stages() + [tree]),
+        estimatorParamMaps=grid,
+        evaluator=RegressionEvaluator(labelCol="ArrDelay", metricName="rmse"),
+        numFolds=3,
+        foldCol="fold",
+    ).fit(folded)
+    assert [r.rmse for r in ours] == pytest.approx(theirs.avgMetrics, rel=1e-9)
+
+
+def test_native_cross_validator_over_a_whole_workflow(parts):
+    tree = training.decision_tree()
+    cv = training.cross_validator(
+        COMPACT.workflow(tree), training.param_grid(tree, {"maxDepth": [2]}), folds=2
+    )
+    fitted = cv.fit(parts[0])
+    assert isinstance(fitted.bestModel, PipelineModel)
+    assert fitted.avgMetrics[0] > 0
+
+
+def test_comparison(parts):
+    train, test = parts
+    tried = training.candidates("single", names=["Random Forest", "Decision Tree"])
+    first = training.compare_models(train, test, COMPACT, tried, folds=2, parallelism=2)
+    rows = first.leaderboard.collect()
+    assert [r["name"] for r in rows] == ["Random Forest", "Decision Tree"]
+    name, model = first.best()
+    assert name == min(rows, key=lambda r: r["score"])["name"]
+    report = _report(score_batch(model, test))
+    row = next(r for r in rows if r["name"] == name)
+    assert (row["rmse"], row["mae"]) == pytest.approx((report["RMSE"], report["MAE"]))
+    again = training.compare_models(train, test, COMPACT, tried, folds=2)
+    for a, b in zip(rows, again.leaderboard.collect()):
+        assert (a["rmse"], a["mae"]) == pytest.approx((b["rmse"], b["mae"]), rel=1e-9)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
