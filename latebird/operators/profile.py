@@ -22,38 +22,49 @@ def _columns_of(df: DataFrame, kind: type) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kind)]
 
 
-def _one_row_per_column(df: DataFrame, columns: Sequence[str], statistics) -> DataFrame:
-    # All statistics of all columns come from a single aggregation; its one
-    # result row is then unfolded into a row per column.
-    structs = [
-        F.struct(F.lit(c).alias("column"), *[s.alias(n) for n, s in statistics(c).items()]).alias(c)
-        for c in columns
-    ]
-    return df.agg(*structs).select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
-
-
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample standard deviation, minimum and maximum, typed."""
-    return _one_row_per_column(
-        df,
-        columns or _columns_of(df, T.NumericType),
-        lambda c: {
-            "count": F.count(c),
-            "mean": F.avg(c),
-            "stddev": F.stddev(c),
-            "min": F.min(c).cast("double"),
-            "max": F.max(c).cast("double"),
-        },
+    """Count, mean, sample standard deviation, minimum and maximum, typed.
+
+    Each row is unfolded into (position, value) pairs and aggregated by
+    position: five aggregates instead of five per column, which would be too
+    many for generated code. Every task sends on one row per column. The row of
+    nulls gives an empty table its zero counts.
+    """
+    names = list(columns or _columns_of(df, T.NumericType))
+    values = df.select(F.array(*[F.col(c).cast("double") for c in names]).alias("values"))
+    nothing = df.sparkSession.range(1).select(
+        F.array_repeat(F.lit(None).cast("double"), len(names)).alias("values")
     )
+    summary = (
+        values.unionAll(nothing)
+        .select(F.posexplode("values").alias("position", "value"))
+        .groupBy("position")
+        .agg(
+            F.count("value").alias("count"),
+            F.avg("value").alias("mean"),
+            F.stddev("value").alias("stddev"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        )
+    )
+    name = F.array(*[F.lit(c) for c in names])[F.col("position")]
+    return summary.select(name.alias("column"), "count", "mean", "stddev", "min", "max")
 
 
 def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, first and last value in sort order of the text columns."""
-    return _one_row_per_column(
-        df,
-        columns or _columns_of(df, T.StringType),
-        lambda c: {"count": F.count(c), "min": F.min(c), "max": F.max(c)},
-    )
+    names = columns or _columns_of(df, T.StringType)
+    # One aggregation; its only row is then unfolded into a row per column.
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("count"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+        ).alias(c)
+        for c in names
+    ]
+    return df.agg(*rows).select(F.inline(F.array(*[F.col(f"`{c}`") for c in names])))
 
 
 def category_counts(df: DataFrame, column: str) -> DataFrame:
@@ -68,10 +79,8 @@ def category_topk(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFram
     only, and Spark cuts each task's values to the `k` best before the shuffle
     (`WindowGroupLimit`), so no task receives a whole column.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    )
-    counted = df.select(F.inline(pairs)).groupBy("column", "value").count()
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counted = text.unpivot([], list(columns), "column", "value").groupBy("column", "value").count()
     best_first = Window.partitionBy("column").orderBy(
         F.desc("count"), F.asc_nulls_first("value")
     )
