@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -148,6 +147,17 @@ def with_fold(df: DataFrame, folds: int, seed: int = DEFAULT_SEED) -> DataFrame:
     return df.withColumn(FOLD, F.expr(fold(seed + 1, folds, integers[:FOLD_INTEGERS])))
 
 
+def _in_threads(
+    spark: SparkSession, work: Callable[[Any], Any], items: Sequence[Any], threads: int
+) -> list[Any]:
+    """Run `work` on every item, at most `threads` at a time. The threads only
+    submit Spark jobs; the cluster shares its cores among them."""
+    if threads <= 1 or len(items) <= 1:
+        return [work(item) for item in items]
+    with ThreadPool(min(threads, len(items))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
+
+
 def _fit_all(
     encoded: DataFrame, jobs: Sequence[tuple[Candidate, ParamPoint]], parallelism: int
 ) -> list[Model]:
@@ -155,10 +165,7 @@ def _fit_all(
         candidate, point = job
         return candidate.estimator.fit(encoded, point)
 
-    if parallelism <= 1 or len(jobs) == 1:
-        return [fit(job) for job in jobs]
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(encoded.sparkSession)(fit), jobs)
+    return _in_threads(encoded.sparkSession, fit, jobs, parallelism)
 
 
 def _measure(models: Mapping[str, Model], encoded: DataFrame) -> DataFrame:
@@ -191,6 +198,7 @@ def cross_validate(
     *,
     folds: int = 3,
     parallelism: int = 1,
+    parallel_folds: int = 1,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> list[GridResult]:
     """k-fold cross-validation of several regressors at once.
@@ -200,10 +208,13 @@ def cross_validate(
     all regressors and grid points; all of them are then measured in one pass
     over the held-out rows. Whole-pipeline cross-validation gives the same
     metrics but fits the encoder once per regressor and grid point.
+
+    `parallelism` is the number of fits running at a time within a fold, and
+    `parallel_folds` that of folds; each running fold keeps its encoded rows.
     """
     jobs = [(candidate, point) for candidate in tried for point in candidate.grid]
-    sums = [(0.0, 0.0)] * len(jobs)
-    for number in range(folds):
+
+    def one_fold(number: int) -> list[tuple[float, float]]:
         kept = rows.where(F.col(FOLD) != number)
         encoder = Pipeline(stages=recipe.encoder_stages()).fit(kept)
         encoded = _encode(encoder, kept).persist(storage)
@@ -212,12 +223,15 @@ def cross_validate(
         finally:
             encoded.unpersist()
         held_out = _encode(encoder, rows.where(F.col(FOLD) == number))
-        measured = _measure({str(i): m for i, m in enumerate(models)}, held_out).collect()
-        sums = [(a + r["rmse"], b + r["mae"]) for (a, b), r in zip(sums, measured)]
-    return [
-        GridResult(candidate, point, total_rmse / folds, total_mae / folds)
-        for (candidate, point), (total_rmse, total_mae) in zip(jobs, sums)
-    ]
+        measured = _measure({str(i): m for i, m in enumerate(models)}, held_out)
+        return [(r["rmse"], r["mae"]) for r in measured.collect()]
+
+    measured = _in_threads(rows.sparkSession, one_fold, range(folds), parallel_folds)
+    results = []
+    for (candidate, point), by_fold in zip(jobs, zip(*measured)):
+        mean_rmse, mean_mae = (sum(values) / folds for values in zip(*by_fold))
+        results.append(GridResult(candidate, point, mean_rmse, mean_mae))
+    return results
 
 
 def grid_report(spark: SparkSession, results: Sequence[GridResult]) -> DataFrame:
@@ -295,6 +309,7 @@ def compare_models(
     folds: int = 3,
     seed: int = DEFAULT_SEED,
     parallelism: int = 1,
+    parallel_folds: int = 1,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> Comparison:
     """Cross-validate every candidate, refit each at its best grid point on all
@@ -310,7 +325,13 @@ def compare_models(
     rows, path = stage_table(with_fold(model_rows(train, recipe), folds, seed), "train")
     try:
         results = cross_validate(
-            rows, recipe, tried, folds=folds, parallelism=parallelism, storage=storage
+            rows,
+            recipe,
+            tried,
+            folds=folds,
+            parallelism=parallelism,
+            parallel_folds=parallel_folds,
+            storage=storage,
         )
         chosen = best_points(results)
         encoder = Pipeline(stages=recipe.encoder_stages()).fit(rows)

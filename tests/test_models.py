@@ -130,7 +130,7 @@ def test_cross_validation_equals_sparks_own_on_the_same_folds(folded):
     tree = training.decision_tree()
     grid = training.param_grid(tree, {"maxDepth": [2, 4]})
     ours = training.cross_validate(
-        folded, COMPACT, [training.Candidate("tree", tree, grid)], parallelism=2
+        folded, COMPACT, [training.Candidate("tree", tree, grid)], parallelism=2, parallel_folds=3
     )
     theirs = CrossValidator(
         estimator=Pipeline(stages=COMPACT.encoder_stages() + [tree]),
