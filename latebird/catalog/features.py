@@ -11,6 +11,7 @@ from latebird.catalog import query
 from latebird.catalog.flights import (
     CLEAN,
     DEPARTURE_SQL,
+    TRAIN_CONDITION,
     check_sql,
     flights,
     hhmm_sql,
@@ -278,18 +279,38 @@ def assemble_features(spark, sf_dir):
     )
 
 
-@query("workflow_fit_transform")
+_SHOWN = ["UniqueCarrier", "Origin", "Dest"]
+
+
+@query(
+    "workflow_fit_transform",
+    check_sql(
+        f"""SELECT f.ArrDelay AS ArrDelay,
+          {', '.join(f'{_index_of(c)} AS {c}_idx' for c in _SHOWN)},
+          CAST(f.DepDelay AS DOUBLE) AS DepDelay_raw,
+          CAST(coalesce(f.TaxiOut, (SELECT quantile_disc(TaxiOut, 0.5) FROM train)) AS DOUBLE)
+            AS TaxiOut_raw,
+          round((f.DepDelay - (SELECT avg(DepDelay) FROM train)) /
+            (SELECT stddev_samp(DepDelay) FROM train), 6) + 0.0 AS DepDelay_scaled,
+          CAST({' + '.join(f'(SELECT count(*) FROM i_{c})' for c in _CATEGORIES)}
+            + {len(DETAILED.numerics)} AS INT) AS n_features
+        FROM {_index_joins(_SHOWN, 'clean')} WHERE NOT ({TRAIN_CONDITION})""",
+        CLEAN,
+        f"train AS (SELECT * FROM clean WHERE {TRAIN_CONDITION})",
+        *_index_ctes(_CATEGORIES, "train"),
+    ),
+)
 def workflow_fit_transform(spark, sf_dir):
+    """Fitted on the train part, applied to the test part."""
     train, test = cleaning.hash_split(flights(spark, sf_dir))
     features = DETAILED.workflow().fit(train).transform(test)
     raw, scaled = vector_to_array(encoding.NUMERIC_RAW), vector_to_array(encoding.NUMERIC_SCALED)
     return features.select(
         LABEL,
-        "UniqueCarrier_idx",
-        "Origin_idx",
-        "Dest_idx",
+        *[encoding.index_name(c) for c in _SHOWN],
         raw[0].alias("DepDelay_raw"),
-        scaled[0].alias("DepDelay_scaled"),
+        raw[1].alias("TaxiOut_raw"),
+        (F.round(scaled[0], 6) + F.lit(0.0)).alias("DepDelay_scaled"),
         F.size(vector_to_array(encoding.FEATURES)).alias("n_features"),
     )
 
