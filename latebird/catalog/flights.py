@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from latebird.functions.bucket import BUCKETS, bucket
-from latebird.session import stage_table
+from latebird.session import drop_at_exit, stage_table
 
 _PARTS = """
 k AS (
@@ -83,7 +83,8 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         cores = spark.sparkContext.defaultParallelism
         if derived.rdd.getNumPartitions() < cores:
             derived = derived.repartition(cores)
-        _staged[key] = stage_table(derived, "flights")[0]
+        _staged[key], path = stage_table(derived, "flights")
+        drop_at_exit(spark, path)
     return _staged[key]
 
 

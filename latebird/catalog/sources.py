@@ -7,7 +7,7 @@ from latebird.catalog import query
 from latebird.catalog.flights import check_sql, flights
 from latebird.operators import profile
 from latebird.schema import FLIGHT_COLUMNS
-from latebird.session import scratch_path
+from latebird.session import drop_at_exit, scratch_path
 from latebird.sources import read_flights_csv, write_flights_csv
 
 _ALL = check_sql("SELECT * FROM flights")
@@ -19,6 +19,7 @@ def _csv_dir(spark, sf_dir) -> str:
     if key not in _written:
         path = scratch_path(spark, "flights-csv")
         write_flights_csv(flights(spark, sf_dir), path)
+        drop_at_exit(spark, path)
         _written[key] = path
     return _written[key]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -67,9 +68,28 @@ def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def _delete(jvm, configuration, path: str) -> None:
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(configuration).delete(hadoop_path, True)
+
+
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Delete a table written by `stage_table`."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(
-        hadoop_path, True
-    )
+    context = spark.sparkContext
+    _delete(context._jvm, context._jsc.hadoopConfiguration(), path)
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this package when the driver program ends."""
+    if "/latebird/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    context = spark.sparkContext
+    jvm, configuration = context._jvm, context._jsc.hadoopConfiguration()
+
+    def drop() -> None:
+        try:
+            _delete(jvm, configuration, path)
+        except Exception:  # the JVM is gone; the folder stays
+            pass
+
+    atexit.register(drop)
