@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from latebird.catalog.flights import (
 )
 from latebird.catalog.relational import rounded
 from latebird.operators import cleaning, encoding
+from latebird.plans import training
 from latebird.plans.recipes import COMPACT, DETAILED, SELECTED, Recipe
 from latebird.schema import LABEL, TAKEOFF_COLUMNS
 
@@ -357,13 +358,12 @@ _CHOICE_CORRELATIONS = "correlations AS (" + " UNION ALL ".join(
 _CHOICE_CTES = (CLEAN, _CHOICE_ROWS, *_index_ctes(_CHOICES, "rows"), _CHOICE_CORRELATIONS)
 
 
-def _selection(spark, sf_dir) -> tuple[DataFrame, object]:
+def _selection(spark, sf_dir):
     """The selector's input and the fitted selector, over rows without nulls."""
     df = cleaning.clean_flights(flights(spark, sf_dir)).where("TaxiOut IS NOT NULL")
-    model = SELECTED.workflow().fit(df)
-    for stage in model.stages[:-1]:
-        df = stage.transform(df)
-    return df, model.stages[-1]
+    rows = training.model_rows(df, SELECTED)
+    *before, selector = training.fit_encoder(rows, SELECTED).stages
+    return PipelineModel(before).transform(rows), selector
 
 
 @query(

@@ -109,7 +109,8 @@ def feature_assembler(categories: Sequence[str], output: str = FEATURES) -> Vect
 def top_feature_selector(
     k: int = 20, features: str = ALL_FEATURES, output: str = FEATURES, label: str = LABEL
 ) -> UnivariateFeatureSelector:
-    """The `k` features with the strongest F-test against a continuous label."""
+    """The `k` features with the strongest F-test against a continuous label.
+    Spark ranks by p-value; features whose p-value is 0 rank by position."""
     selector = UnivariateFeatureSelector(
         featuresCol=features, outputCol=output, labelCol=label, selectionMode="numTopFeatures"
     )
@@ -136,29 +137,27 @@ def selected_features(
 ) -> DataFrame:
     """The chosen slots as rows (index, name, f_value).
 
-    `df` holds the selector's input. F = r^2 / (1 - r^2) * (n - 2) comes from
-    one aggregation over the chosen slots, so the wide vector stays sparse.
+    `df` holds the selector's input. Only the chosen slots are unfolded, and
+    aggregated by position: F = r^2 / (1 - r^2) * (n - 2).
     """
     chosen = sorted(model.selectedFeatures)
     names = feature_names(df, model.getFeaturesCol(), numerics)
-    slots = vector_to_array(F.col(model.getOutputCol()))
-    wide = (
+    squared = F.pow(F.corr("x", "y"), F.lit(2))
+    by_place = (
         model.transform(df.select(label, model.getFeaturesCol()))
         .select(
             F.col(label).cast("double").alias("y"),
-            *[slots[place].alias(f"x{i}") for place, i in enumerate(chosen)],
+            F.posexplode(vector_to_array(model.getOutputCol())).alias("place", "x"),
         )
-        .agg(F.count("y").alias("n"), *[F.corr(f"x{i}", "y").alias(f"r{i}") for i in chosen])
+        .groupBy("place")
+        .agg(squared.alias("r2"), F.count("y").alias("n"))
     )
 
-    def f_value(i: int) -> Column:
-        squared = F.col(f"r{i}") * F.col(f"r{i}")
-        return F.try_divide(squared * (F.col("n") - 2), 1 - squared)
+    def at_place(values: Sequence) -> Column:
+        return F.array(*[F.lit(v) for v in values])[F.col("place")]
 
-    rows = [
-        F.struct(
-            F.lit(i).alias("index"), F.lit(names[i]).alias("name"), f_value(i).alias("f_value")
-        )
-        for i in chosen
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    return by_place.select(
+        at_place(chosen).alias("index"),
+        at_place([names[i] for i in chosen]).alias("name"),
+        F.try_divide(F.col("r2") * (F.col("n") - 2), 1 - F.col("r2")).alias("f_value"),
+    )

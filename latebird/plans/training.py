@@ -24,7 +24,7 @@ from pyspark.storagelevel import StorageLevel
 from pyspark.util import inheritable_thread_target
 
 from latebird.functions.bucket import fold
-from latebird.operators.encoding import FEATURES
+from latebird.operators.encoding import ALL_FEATURES, FEATURES
 from latebird.operators.leaderboard import best_model, with_score
 from latebird.operators.metrics import compare_predictions
 from latebird.plans.recipes import DETAILED, Recipe
@@ -191,6 +191,23 @@ def _encode(encoder: PipelineModel, rows: DataFrame) -> DataFrame:
     return encoder.transform(rows).select(LABEL, FEATURES)
 
 
+def fit_encoder(
+    rows: DataFrame, recipe: Recipe, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK
+) -> PipelineModel:
+    """Fit a recipe's encoder. The feature selector goes over its input several
+    times, so that input is kept while it is fitted."""
+    steps = recipe.encoder_stages()
+    if not recipe.top_features:
+        return Pipeline(stages=steps).fit(rows)
+    before = Pipeline(stages=steps[:-1]).fit(rows)
+    wide = before.transform(rows).select(LABEL, ALL_FEATURES).persist(storage)
+    try:
+        selector = steps[-1].fit(wide)
+    finally:
+        wide.unpersist()
+    return PipelineModel(before.stages + [selector])
+
+
 def cross_validate(
     rows: DataFrame,
     recipe: Recipe,
@@ -216,7 +233,7 @@ def cross_validate(
 
     def one_fold(number: int) -> list[tuple[float, float]]:
         kept = rows.where(F.col(FOLD) != number)
-        encoder = Pipeline(stages=recipe.encoder_stages()).fit(kept)
+        encoder = fit_encoder(kept, recipe, storage)
         encoded = _encode(encoder, kept).persist(storage)
         try:
             models = _fit_all(encoded, jobs, parallelism)
@@ -276,7 +293,7 @@ def train_model(
     spark = flights.sparkSession
     rows, path = stage_table(model_rows(flights, recipe), "train")
     try:
-        encoder = Pipeline(stages=recipe.encoder_stages()).fit(rows)
+        encoder = fit_encoder(rows, recipe, storage)
         encoded = _encode(encoder, rows).persist(storage)
         try:
             model = estimator.fit(encoded)
@@ -334,7 +351,7 @@ def compare_models(
             storage=storage,
         )
         chosen = best_points(results)
-        encoder = Pipeline(stages=recipe.encoder_stages()).fit(rows)
+        encoder = fit_encoder(rows, recipe, storage)
         encoded = _encode(encoder, rows).persist(storage)
         try:
             fitted = _fit_all(encoded, [(c.candidate, c.point) for c in chosen], parallelism)
