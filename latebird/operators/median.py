@@ -67,7 +67,7 @@ def median(df: DataFrame, column: str) -> DataFrame:
 
 def fill_with_batch_median(df: DataFrame, column: str, null_as_zero: bool = True) -> DataFrame:
     """Set `column` to its own median on every row, null or not; 0 if there is
-    no median. Kept because the reference results depend on it: the value
+    no median. Kept because the original steps work this way: the value
     replaces the column. To fill nulls only, use `impute` or `MedianFill`.
 
     `null_as_zero` takes the median over zero-filled values.

@@ -34,7 +34,7 @@ class Recipe:
     top_features: int | None = None
 
     def parity(self) -> Recipe:
-        """The recipe with the reference results' constant TaxiOut."""
+        """The recipe with the constant TaxiOut of the original steps."""
         return self if self.taxi_fill == "none" else replace(self, taxi_fill="batch")
 
     def row_stages(self, require_label: bool = True) -> list[Stage]:
