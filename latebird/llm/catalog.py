@@ -51,3 +51,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = write_token_files(docs, scratch(spark, "token-files"))
     return read_token_files(spark, manifest)
+
+
+@query("op5_simhash_pigeonring")
+def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.simhash import fingerprint_hex, simhash_components
+
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", fingerprint_hex().alias("fingerprint"), "component_id")
+
+
+@query("op10_certified_rules")
+def op10_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.quality_rules import apply_quality_rules
+
+    return apply_quality_rules(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.05, level=0.05
+    ).drop("n_lines", "n_upper_words")
