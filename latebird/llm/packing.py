@@ -207,9 +207,10 @@ def pack_documents(
         packer = Packer(limits)
         out = _Rows(TaskContext.get().partitionId() << TASK_BITS)
         for batch in batches:
-            columns = (batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist())
-            for doc_id, text, first in zip(*columns):
-                ids = memoryview(encode(text.as_py()) + end)
+            all_ids, starts = encode(batch.column(1))
+            columns = (batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            for i, (doc_id, first) in enumerate(zip(*columns)):
+                ids = memoryview(all_ids[starts[i] : starts[i + 1]].tobytes() + end)
                 piece = Piece(doc_id, 0, ids, len(ids) // 4, first)
                 for sequence in packer.add(piece):
                     yield from out.add(sequence)

@@ -208,17 +208,18 @@ def write_token_files(
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(tokenizer_name).encode
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        end = np.array([] if end_id is None else [end_id], "<u4")
         shard = TaskContext.get().partitionId()
         name = f"{folder}/ids-{shard:06d}-{uuid.uuid4().hex}.bin"
         writer = None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if writer is None:
-                    system, path = _filesystem(folder)
-                    system.create_dir(path, recursive=True)
-                    writer = TokenFileWriter(name, width, block_ids)
-                writer.add(doc_id, np.frombuffer(encode(text.as_py()) + end, "<u4"))
+            ids, starts = encode(batch.column(1))
+            if writer is None and batch.num_rows:
+                system, path = _filesystem(folder)
+                system.create_dir(path, recursive=True)
+                writer = TokenFileWriter(name, width, block_ids)
+            for i, doc_id in enumerate(batch.column(0).to_pylist()):
+                writer.add(doc_id, np.concatenate((ids[starts[i] : starts[i + 1]], end)))
         if writer is not None:
             n_docs, n_ids, n_bytes = writer.close()
             yield pa.RecordBatch.from_arrays(

@@ -1,85 +1,156 @@
 """Token ids from a public tokenizer, with the ids of recurring words remembered.
 
-Both vocabularies in use cut a text before white space: a word with the white
-space in front of it is encoded the same wherever it stands. The text is cut
-only where a plain letter or sign is followed by a blank or a newline, which is
-such a place under either tokenizer's rules, and each distinct piece is given
-to the tokenizer once. `tests/llm/test_tokenizing.py` compares with whole texts.
+Under either vocabulary in use a word, with the white space in front of it, is
+encoded the same wherever it stands. A column of texts is cut where a plain
+letter or sign is followed by a blank or a newline, which is such a place under
+either tokenizer's rules; Arrow finds the distinct pieces, each of which is
+given to the tokenizer once, and numpy gathers the ids. Many pieces go to the
+tokenizer in one string, parted by a special token, which the tokenizer cuts out
+before it looks at anything else. `tests/llm/test_tokens.py` compares with the
+tokenizer on whole texts.
 """
 
 from __future__ import annotations
 
-import re
-import sys
-from array import array
-from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: A place between ASCII or Latin signs and a following blank or newline.
-CUT = re.compile(r"(?<=[!-~À-ÖØ-öø-ſ])(?=[ \n])")
-#: Code points handled at once; a long text is cut on the way.
-CHUNK = 1 << 20
-#: Remembered pieces in each of two generations.
-REMEMBERED = 300_000
+#: Bytes of text handled at once, at least one piece; texts are cut on the way.
+STRETCH = 8 << 20
+#: Pieces remembered before the memory starts anew.
+REMEMBERED = 1_000_000
+#: Pieces handed to the tokenizer in one string.
+TOGETHER = 200
 
 
-def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
-    """`text` in runs of about `size` code points, cut at places named by CUT."""
-    start = 0
-    while len(text) - start > size:
-        place = CUT.search(text, start + size)
-        if place is None:
-            break
-        yield text[start : place.start()]
-        start = place.start()
-    yield text[start:]
+def _places(data: np.ndarray) -> np.ndarray:
+    """Where a piece may begin: at a blank or newline after an ASCII sign or a
+    letter of two bytes from U+00C0 to U+017F."""
+    blank = (data == 0x20) | (data == 0x0A)
+    at = np.flatnonzero(blank[1:]) + 1
+    before = data[at - 1]
+    ascii_sign = (before > 0x20) & (before < 0x7F)
+    lead = data[np.maximum(at - 2, 0)]
+    latin = (before >= 0x80) & (lead >= 0xC3) & (lead <= 0xC5)
+    return at[ascii_sign | latin]
 
 
 class WordTokenizer:
-    """Encodes texts as little-endian unsigned 32-bit ids."""
+    """Encodes columns of texts; keeps the ids of the pieces it has met."""
 
-    def __init__(self, name: str, remembered: int = REMEMBERED):
+    def __init__(self, name: str, remembered: int = REMEMBERED, stretch: int = STRETCH):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.remembered = remembered
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(self._encode_chunk(chunk) for chunk in chunks(text))
-
-    def _encode_chunk(self, chunk: str) -> bytes:
-        pieces = CUT.split(chunk)
-        young, old = self._young, self._old
-        fresh = []
-        for piece in set(pieces):
-            if piece not in young:
-                known = old.get(piece)
-                if known is None:
-                    fresh.append(piece)
-                else:
-                    young[piece] = known
-        if fresh:
-            for piece, encoded in zip(
-                fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            ):
-                young[piece] = packed(encoded.ids)
-        ids = b"".join(map(young.__getitem__, pieces))
-        if len(young) > self.remembered:
-            self._old, self._young = young, {}
-        return ids
-
-
-def packed(ids: list[int]) -> bytes:
-    values = array("I", ids)
-    if sys.byteorder == "big":
-        values.byteswap()
-    return values.tobytes()
+        self.plain, self.parted = (
+            Tokenizer.from_file(public_tokenizers.path(name)) for _ in range(2)
+        )
+        for tokenizer in (self.plain, self.parted):
+            tokenizer.no_padding()
+            tokenizer.no_truncation()
+        # Special tokens' strings are ordinary text in a text, and cut out between pieces.
+        self.plain.encode_special_tokens = True
+        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
+        self.mark = self.special[-1]
+        self.mark_id = self.plain.token_to_id(self.mark)
+        self.remembered, self.stretch = remembered, stretch
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known = pa.array([], pa.large_string())  # their places are those of the next two
+        self._starts = np.zeros(1 << 12, np.int64)
+        self._lengths = np.zeros(1 << 12, np.int64)
+        self._ids = np.zeros(1 << 14, "<u4")
+        self._used = 0
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all `texts` (without nulls) as little-endian unsigned
+        32-bit numbers, and where each text's ids begin, and the last end."""
+        texts = texts.cast(pa.large_string())
+        _, offset_buffer, data_buffer = texts.buffers()
+        offsets = np.frombuffer(offset_buffer, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        if data_buffer is None or offsets[0] == offsets[-1]:
+            return np.empty(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        base, end = int(offsets[0]), int(offsets[-1])
+        data = np.frombuffer(data_buffer, np.uint8)[base:end]
+        offsets = offsets - base
+        begins = np.zeros(len(data), bool)
+        begins[_places(data)] = True
+        begins[offsets[offsets < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        first_piece = np.searchsorted(starts, offsets)
+        bounds = np.append(starts, len(data))
+        parts, counts = [], []
+        at = 0
+        while at < len(starts):
+            to = int(np.searchsorted(bounds, bounds[at] + self.stretch, side="right")) - 1
+            to = max(to, at + 1)
+            ids, lengths = self._encode_pieces(data, bounds[at : to + 1])
+            parts.append(ids)
+            counts.append(lengths)
+            at = to
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+        return (parts[0] if len(parts) == 1 else np.concatenate(parts)), ends[first_piece]
+
+    def _encode_pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pieces = pa.LargeStringArray.from_buffers(
+            len(bounds) - 1,
+            pa.py_buffer(np.ascontiguousarray(bounds - bounds[0])),
+            pa.py_buffer(data[bounds[0] : bounds[-1]]),
+        ).dictionary_encode()
+        number = self._numbers(pieces.dictionary)[pieces.indices.to_numpy()]
+        lengths = self._lengths[number]
+        ends = np.cumsum(lengths)
+        places = np.repeat(self._starts[number] - ends + lengths, lengths)
+        places += np.arange(len(places))
+        return self._ids[places], lengths
+
+    def _numbers(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """The place of each of the distinct `pieces` among the known ones."""
+        if len(self._known) > self.remembered:
+            self._forget()
+        number = pc.index_in(pieces, value_set=self._known).fill_null(-1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            fresh = pieces.take(pa.array(missing))
+            ids, lengths = self._encode_fresh(fresh.to_pylist())
+            n, to = len(self._known), len(self._known) + len(fresh)
+            self._known = pa.concat_arrays([self._known, fresh])
+            self._starts = _room(self._starts, to)
+            self._lengths = _room(self._lengths, to)
+            self._ids = _room(self._ids, self._used + len(ids))
+            self._starts[n:to] = self._used + np.cumsum(lengths) - lengths
+            self._lengths[n:to] = lengths
+            self._ids[self._used : self._used + len(ids)] = ids
+            self._used += len(ids)
+            number[missing] = np.arange(n, to)
+        return number
+
+    def _encode_fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if any("<|" in piece for piece in pieces):  # may hold a special token's string
+            encoded = self.plain.encode_batch_fast(pieces, add_special_tokens=False)
+            lengths = np.fromiter((len(e.ids) for e in encoded), np.int64, len(pieces))
+            return np.fromiter(chain.from_iterable(e.ids for e in encoded), "<u4"), lengths
+        strings = [
+            self.mark.join(pieces[i : i + TOGETHER]) + self.mark
+            for i in range(0, len(pieces), TOGETHER)
+        ]
+        encoded = self.parted.encode_batch_fast(strings, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), "<u4")
+        ends = np.flatnonzero(ids == self.mark_id)
+        lengths = np.diff(ends, prepend=-1) - 1
+        return np.delete(ids, ends), lengths
+
+
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(values):
+        return values
+    grown = np.zeros(max(size, len(values) * 3 // 2), values.dtype)
+    grown[: len(values)] = values
+    return grown
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
