@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latebird.llm.common import scratch, staged, table
+from latebird.llm import mixing
+from latebird.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,3 +69,62 @@ def op10_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_quality_rules(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.05, level=0.05
     ).drop("n_lines", "n_upper_words")
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM p
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+
+@query("op8_norm_sorted_topk", OP8_SQL)
+def op8_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.topk import exact_top_k
+
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+@query("op7_kd_shards")
+def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.sharding import assign_shards
+
+    return assign_shards(table(spark, sf_dir, "documents"), shards=24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op1_raked_mix", mixing.check_sql())
+def op1_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = mixing.sample_mix(table(spark, sf_dir, "documents"))
+    return sampled.select(
+        "doc_id",
+        F.coalesce("source", F.lit(mixing.NONE)).alias("source"),
+        F.coalesce("lang", F.lit(mixing.NONE)).alias("lang"),
+        F.col("mix_topic").alias("topic"),
+        F.col("mix_tokens").alias("tokens"),
+        F.round("mix_probability", 6).alias("probability"),
+    )
+
+
+@query("op2_ordinal_quality")
+def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.ordinal import grade_documents
+
+    return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
