@@ -128,3 +128,10 @@ def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from latebird.llm.ordinal import grade_documents
 
     return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_forest_secrets")
+def op4_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.secret_scan import scan_secrets
+
+    return scan_secrets(table(spark, sf_dir, "documents"))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 #: Bytes of text handled at once, at least one piece; texts are cut on the way.
 STRETCH = 8 << 20
 #: Pieces remembered before the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Pieces handed to the tokenizer in one string.
 TOGETHER = 200
 
