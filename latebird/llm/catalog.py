@@ -135,3 +135,10 @@ def op4_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from latebird.llm.secret_scan import scan_secrets
 
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op3_skip_chain_pii")
+def op3_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.pii_crf import find_personal_data
+
+    return find_personal_data(table(spark, sf_dir, "documents"))
