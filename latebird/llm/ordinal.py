@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from latebird.llm.common import ship_package, text_or_empty, unused_name
 
 BUCKETS = 1 << 22
-#: Labelled documents in the fit, and the least likelihood-ratio statistic of a feature.
+#: Labelled documents in the fit; the fewest of them in which a feature stands, and
+#: the least likelihood-ratio statistic that ties it to the grade.
 SAMPLE = 16_000
+LEAST_DOCUMENTS = 5
 LEAST_RATIO = 20.0
 #: The least difference in log odds of a feature's presence between neighbouring grades.
 LEAST_LOG_ODDS = 2.0
@@ -93,9 +95,9 @@ def text_features(text: str, memory: _Memory) -> set[int]:
 
 @dataclass
 class OrdinalModel:
-    """weights by bucket; thresholds between grades; the cut on the tail probability."""
+    """Weights of the buckets that have one; thresholds between grades; the cut on the tail."""
 
-    weights: np.ndarray
+    weights: dict[int, float]
     thresholds: np.ndarray
     cut: float
 
@@ -104,11 +106,13 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds - scores[:, None], -50, 50)))
 
 
-def likelihood_ratio(features: np.ndarray, grades: np.ndarray, of_grade: np.ndarray) -> np.ndarray:
-    """The G statistic of each feature's presence against the grade, 0 where the
-    odds of presence are alike in all grades; `of_grade`: documents of each grade."""
+def likelihood_ratio(
+    features: np.ndarray, grades: np.ndarray, of_grade: np.ndarray, n: int
+) -> np.ndarray:
+    """The G statistic of the presence of each of `n` features against the grade, 0
+    where the odds of presence are alike in all grades; `of_grade`: documents of each."""
     with_feature = np.stack(
-        [np.bincount(features[grades == g], minlength=BUCKETS) for g in range(len(of_grade))]
+        [np.bincount(features[grades == g], minlength=n) for g in range(len(of_grade))]
     ).astype(float)
     without = of_grade[:, None] - with_feature
     total = 0.0
@@ -149,13 +153,21 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Or
     """The model from rows of features and grades 0 to n_grades - 1."""
     thresholds = np.zeros(n_grades - 1)
     if not len(rows):  # nothing is known: every text has an even chance, none is rejected
-        return OrdinalModel(np.zeros(BUCKETS), thresholds, 0.0)
+        return OrdinalModel({}, thresholds, 0.0)
     held = np.arange(len(rows)) % HELD_OUT == HELD_OUT - 1
     counts = np.fromiter(map(len, rows), np.int64, len(rows))
-    features, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), counts)
+    features, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), counts)
+    # From here on features are numbered from 0, without the rare ones.
+    buckets = np.flatnonzero(
+        np.bincount(features[~held[owner]], minlength=BUCKETS) >= LEAST_DOCUMENTS
+    ).astype(np.int32)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[buckets] = np.arange(len(buckets))
+    features = place[features]
+    owner, features = owner[features >= 0], features[features >= 0]
     fitted = ~held[owner]
     of_grade = np.bincount(grades[~held], minlength=n_grades)
-    ratio = likelihood_ratio(features[fitted], grades[owner[fitted]], of_grade)
+    ratio = likelihood_ratio(features[fitted], grades[owner[fitted]], of_grade, len(buckets))
     used = fitted & (ratio >= LEAST_RATIO)[features]
     by_feature = np.argsort(features[used], kind="stable")
     names, starts = np.unique(features[used][by_feature], return_index=True)
@@ -163,7 +175,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Or
     share = (np.cumsum(of_grade)[:-1] + 0.5) / (of_grade.sum() + 1)
     thresholds = np.maximum.accumulate(np.log(share / (1 - share)) + np.arange(n_grades - 1) * 1e-3)
     scores = np.zeros(len(rows))
-    weights = np.zeros(BUCKETS)
+    weights = np.zeros(len(buckets))
     order = np.argsort(-ratio[names], kind="stable")  # the strongest ties first
     for _ in range(PASSES):
         moved = 0.0
@@ -181,7 +193,8 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Or
         thresholds = _fit_thresholds(scores[~held], grades[~held], thresholds)
         if moved < 0.02:
             break
-    model = OrdinalModel(weights, thresholds, 0.5)
+    kept = np.flatnonzero(weights)
+    model = OrdinalModel(dict(zip(buckets[kept].tolist(), weights[kept].tolist())), thresholds, 0.5)
     scores = np.bincount(owner, weights[features], minlength=len(rows))
     tails, top = model.tails(scores)[held, -1], grades[held] == n_grades - 1
     cuts = np.unique(tails)
@@ -245,9 +258,7 @@ def fit_quality(
 
 def _scorer(model: OrdinalModel):
     """A column function: text -> (expected_grade, tails, has words)."""
-    weights = {int(i): float(model.weights[i]) for i in np.flatnonzero(model.weights)}
-    own = OrdinalModel(np.zeros(0), model.thresholds, model.cut)
-    cut = model.cut
+    weights, cut = model.weights, model.cut
 
     @F.pandas_udf("expected_grade double, tail double, kept boolean")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -257,7 +268,7 @@ def _scorer(model: OrdinalModel):
             scores = np.fromiter(
                 (sum(map(weight, text_features(t, memory))) for t in texts), float, len(texts)
             )
-            tails = own.tails(scores)
+            tails = model.tails(scores)
             wordy = texts.str.contains(r"\S", regex=True).to_numpy(bool)
             tails[~wordy] = 0.0
             yield pd.DataFrame(
