@@ -35,7 +35,7 @@ STEP = 512
 #: Shares of the axes after which pairs are pruned.
 PARTS = (0.125, 0.25, 0.5)
 
-_FOUND = "query_row long, query_id long, vec_id long, score long"
+_FOUND = "query_row long, query_id long, row long, vec_id long, score long"
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -169,7 +169,8 @@ class Search:
     def found(self, query_ids: np.ndarray) -> pa.Table:
         q = np.repeat(np.arange(len(self.rows)), self.filled)
         slot = np.concatenate([np.arange(n) for n in self.filled]) if len(q) else q
-        columns = [self.rows[q], query_ids[q], self.ids[q, slot], self.scores[q, slot]]
+        columns = [self.rows[q], query_ids[q], self.cand_rows[q, slot]]
+        columns += [self.ids[q, slot], self.scores[q, slot]]
         names = [c.split()[0] for c in _FOUND.split(", ")]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
 
