@@ -21,6 +21,7 @@ from latebird.operators import cleaning, encoding
 from latebird.plans import training
 from latebird.plans.recipes import COMPACT, DETAILED, SELECTED, Recipe
 from latebird.schema import LABEL, TAKEOFF_COLUMNS
+from latebird.session import drop_at_exit, stage_table
 
 # --- Fills -----------------------------------------------------------------
 
@@ -85,7 +86,7 @@ def _indexed(spark, sf_dir, columns: list[str]) -> DataFrame:
     return encoding.string_indexer(columns).fit(df).transform(df)
 
 
-_TEXT = ["UniqueCarrier", "Origin", "Dest", "TailNum"]
+_TEXT = ["UniqueCarrier", "Origin", "Dest"]
 _CALENDAR = ["Month", "DayOfWeek", "DayofMonth", "Year"]
 
 
@@ -99,7 +100,19 @@ def string_index_numeric(spark, sf_dir):
     return _indexed(spark, sf_dir, _CALENDAR)
 
 
-_ONE_HOT = ["UniqueCarrier", "Month", "TailNum"]
+def sparse_form(vector: str):
+    """Size and active places of a vector in its sparse form, without unfolding
+    it; null for a dense one."""
+    text = F.col(vector).cast("string")  # as (size,[places],[values])
+    sparse = text.startswith("(")
+    places = F.split(F.regexp_extract(text, r"\[([\d,]*)\]", 1), ",")
+    return (
+        F.when(sparse, F.regexp_extract(text, r"^\((\d+),", 1).cast("int")),
+        F.when(sparse, F.filter(F.transform(places, lambda x: x.try_cast("int")), lambda x: x.isNotNull())),
+    )
+
+
+_ONE_HOT = ["UniqueCarrier", "Month", "Origin"]
 
 
 @query(
@@ -120,11 +133,11 @@ def one_hot(spark, sf_dir):
     encoded = encoding.one_hot_encoder(_ONE_HOT).fit(indexed).transform(indexed)
     shown = []
     for c in _ONE_HOT:
-        slots = vector_to_array(encoding.one_hot_name(c))
+        size, indices = sparse_form(encoding.one_hot_name(c))
         shown += [
             F.col(c),
-            F.size(slots).alias(f"{c}_size"),
-            (F.array_position(slots, 1.0) - 1).cast("int").alias(f"{c}_active"),
+            size.alias(f"{c}_size"),
+            F.coalesce(F.get(indices, F.lit(0)), F.lit(-1)).alias(f"{c}_active"),
         ]
     return encoded.select(*shown)
 
@@ -268,18 +281,28 @@ _CATEGORIES = list(DETAILED.categories)
     ),
 )
 def assemble_features(spark, sf_dir):
-    df = flights(spark, sf_dir)
-    features = DETAILED.workflow().fit(df).transform(df)
-    slots = vector_to_array(encoding.FEATURES)
-    one_hots = F.slice(slots, 1, F.size(slots) - len(DETAILED.numerics))
-    return features.select(
+    features = _encoded(training.model_rows(flights(spark, sf_dir), DETAILED))
+    size, places = sparse_form(encoding.FEATURES)
+    form = features.select(LABEL, size.alias("n_features"), places.alias("places"))
+    first_numeric = F.col("n_features") - len(DETAILED.numerics)
+    return form.select(
         LABEL,
-        F.size(slots).alias("n_features"),
-        (F.array_position(slots, 1.0) - 1).cast("int").alias("first_active"),
-        F.size(F.filter(one_hots, lambda x: x == 1.0)).alias("active_categories"),
+        "n_features",
+        F.col("places")[0].alias("first_active"),
+        F.size(F.filter("places", lambda x: x < first_numeric)).alias("active_categories"),
     )
 
 
+def _encoded(rows: DataFrame, other: DataFrame | None = None) -> DataFrame:
+    """`other` (by default `rows`) encoded by what is learnt from `rows`, which are
+    stored first, so that the learning stages share one narrow table."""
+    spark = rows.sparkSession
+    stored, path = stage_table(rows, "rows")
+    drop_at_exit(spark, path)
+    encoder = training.fit_encoder(stored, DETAILED)
+    return encoder.transform(stored if other is None else other)
+
+
 _SHOWN = ["UniqueCarrier", "Origin", "Dest"]
 
 
@@ -304,7 +327,7 @@ _SHOWN = ["UniqueCarrier", "Origin", "Dest"]
 def workflow_fit_transform(spark, sf_dir):
     """Fitted on the train part, applied to the test part."""
     train, test = cleaning.hash_split(flights(spark, sf_dir))
-    features = DETAILED.workflow().fit(train).transform(test)
+    features = _encoded(*(training.model_rows(part, DETAILED) for part in (train, test)))
     raw, scaled = vector_to_array(encoding.NUMERIC_RAW), vector_to_array(encoding.NUMERIC_SCALED)
     return features.select(
         LABEL,
@@ -312,7 +335,7 @@ def workflow_fit_transform(spark, sf_dir):
         raw[0].alias("DepDelay_raw"),
         raw[1].alias("TaxiOut_raw"),
         (F.round(scaled[0], 6) + F.lit(0.0)).alias("DepDelay_scaled"),
-        F.size(vector_to_array(encoding.FEATURES)).alias("n_features"),
+        sparse_form(encoding.FEATURES)[0].alias("n_features"),
     )
 
 
@@ -361,7 +384,8 @@ _CHOICE_CTES = (CLEAN, _CHOICE_ROWS, *_index_ctes(_CHOICES, "rows"), _CHOICE_COR
 def _selection(spark, sf_dir):
     """The selector's input and the fitted selector, over rows without nulls."""
     df = cleaning.clean_flights(flights(spark, sf_dir)).where("TaxiOut IS NOT NULL")
-    rows = training.model_rows(df, SELECTED)
+    rows, path = stage_table(training.model_rows(df, SELECTED), "rows")
+    drop_at_exit(spark, path)
     *before, selector = training.fit_encoder(rows, SELECTED).stages
     return PipelineModel(before).transform(rows), selector
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from latebird.functions.bucket import BUCKETS, bucket
+from latebird.functions.bucket import bucket, share_of_buckets
 from latebird.session import drop_at_exit, stage_table
 
 _PARTS = """
@@ -79,10 +79,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
         derived = derive_flights(spark, sf_dir)
-        # A small file comes as one task; many row groups are left as they are.
-        cores = spark.sparkContext.defaultParallelism
-        if derived.rdd.getNumPartitions() < cores:
-            derived = derived.repartition(cores)
+        derived = derived.repartition(spark.sparkContext.defaultParallelism)
         _staged[key], path = stage_table(derived, "flights")
         drop_at_exit(spark, path)
     return _staged[key]
@@ -125,4 +122,4 @@ def hhmm_sql(minutes: str, departure: str = DEPARTURE_SQL) -> str:
 # the check database can repeat it.
 ARITHMETIC_PREDICTION = "CAST(DepDelay + coalesce(TaxiOut, 0) - 11 AS DOUBLE)"
 
-TRAIN_CONDITION = f"{bucket(89)} < {round(0.8 * BUCKETS)}"
+TRAIN_CONDITION = f"{bucket(89)} < {share_of_buckets(0.8)}"

@@ -143,19 +143,15 @@ def clean_flights(spark, sf_dir):
     ),
 )
 def hash_split(spark, sf_dir):
-    train, test = cleaning.hash_split(flights(spark, sf_dir))
     columns = ["Year", "Month", "DayofMonth", "FlightNum", "ArrDelay"]
-    return train.select(*columns, F.lit("train").alias("part")).unionAll(
-        test.select(*columns, F.lit("test").alias("part"))
-    )
+    return cleaning.with_part(flights(spark, sf_dir)).select(*columns, "part")
 
 
-@query("train_test_split")
+@query("train_test_split", check_sql("SELECT * FROM flights"))
 def train_test_split(spark, sf_dir):
+    """The two random parts together: every flight, once."""
     train, test = cleaning.random_split(flights(spark, sf_dir))
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
+    return train.unionByName(test)
 
 
 # --- Projections -----------------------------------------------------------

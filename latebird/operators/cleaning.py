@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latebird.functions.bucket import BUCKETS, SPLIT_COLUMNS, bucket
+from latebird.functions.bucket import SPLIT_COLUMNS, bucket, share_of_buckets
 from latebird.schema import (
     FLIGHT_COLUMNS,
     LABEL,
@@ -59,16 +59,31 @@ def drop_unusable(df: DataFrame) -> DataFrame:
     return df.drop(*LEAKAGE_COLUMNS).drop(*UNINFORMATIVE_COLUMNS)
 
 
+def with_part(
+    df: DataFrame,
+    train_share: float = 0.8,
+    seed: int = 89,
+    columns: Sequence[str] = SPLIT_COLUMNS,
+    name: str = "part",
+) -> DataFrame:
+    """Add `train` or `test`, from a hash of the row, in one pass. Equal rows stay
+    together, and the parts are the same whatever the partitioning, also when a
+    task re-runs. A share that the buckets cannot represent raises."""
+    in_train = F.expr(f"{bucket(seed, columns)} < {share_of_buckets(train_share)}")
+    return df.withColumn(name, F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
+
+
 def hash_split(
     df: DataFrame,
     train_share: float = 0.8,
     seed: int = 89,
     columns: Sequence[str] = SPLIT_COLUMNS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test parts by a hash of the row. Equal rows stay together, and
-    the parts are the same whatever the partitioning, also when a task re-runs."""
-    in_train = F.expr(f"{bucket(seed, columns)} < {round(train_share * BUCKETS)}")
-    return df.where(in_train), df.where(~in_train)
+    """The train and the test part of `with_part`. Each part that is used reads
+    the source; where one pass should give both, use `with_part`."""
+    parted = with_part(df, train_share, seed, columns, "_part")
+    train, test = (parted.where(F.col("_part") == p).drop("_part") for p in ("train", "test"))
+    return train, test
 
 
 def random_split(

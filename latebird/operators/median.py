@@ -6,63 +6,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOW_BITS = 16
+_DIGIT_BITS = 16
+_WIDTHS = {T.ByteType: 32, T.ShortType: 32, T.IntegerType: 32, T.LongType: 64}
 
 
 def approx_median(df: DataFrame, column: str) -> DataFrame:
-    """One row, one column: Spark's `percentile_approx` at one half."""
+    """One row, one column: Spark's `percentile_approx` at one half, for any
+    numeric type. It is exact up to 10,000 different values, and ends in one
+    task that merges a bounded sketch from every input partition."""
     return df.agg(F.percentile_approx(column, F.lit(0.5)).alias("median"))
 
 
 def median(df: DataFrame, column: str) -> DataFrame:
     """One row, one column: the smallest value that half of the non-null rows
-    do not exceed; null if there are none.
+    do not exceed; null if there are none. Exact, for integers of any width;
+    other types raise, and the caller may choose `approx_median`.
 
-    `percentile_approx` ends in one task that merges a sketch from every input
-    partition. Counting per value first spreads that merge over the shuffle,
-    and gives the exact answer. The counts are then ranked in two steps, by the
-    value's upper and lower 16 bits, so a ranking task sees at most 65,536 rows
-    however many different values there are. Both steps reuse one shuffle.
+    Counting per value first spreads the work over the shuffle. The counts are
+    then ranked by 16 bits of the value at a time, from the top, so a ranking
+    task sees at most 65,536 rows however many different values there are. All
+    steps reuse one shuffle.
     """
-    if not isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-        return approx_median(df, column)
-
+    kind = type(df.schema[column].dataType)
+    if kind not in _WIDTHS:
+        raise TypeError(f"no exact median of {column} ({kind.__name__}): use approx_median")
+    width = _WIDTHS[kind]
     counted = (
         df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("int").alias("v"))
+        .groupBy(F.col(column).cast("bigint").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upper = F.shiftright("v", _LOW_BITS)
-
-    blocks = counted.groupBy(upper.alias("block")).agg(F.sum("n").alias("n"))
-    running = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.orderBy("block").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    # One row: the leading bits of the median, and how many rows in to look for it.
+    home = counted.agg(F.ceil(F.sum("n") / 2).alias("target")).select(
+        F.lit(None).cast("bigint").alias("lead"), "target"
     )
-    # One row: the block that holds the median, and how far into it.
-    home = (
-        blocks.select(
-            "block",
-            (F.sum("n").over(running) - F.col("n")).alias("before"),
-            F.sum("n").over(running).alias("upto"),
-            F.ceil(F.sum("n").over(everything) / 2).alias("target"),
+    for shift in range(width - _DIGIT_BITS, -1, -_DIGIT_BITS):
+        above = shift + _DIGIT_BITS
+        block = F.shiftright("v", shift)
+        inside = counted.join(
+            F.broadcast(home),
+            F.lit(True) if above == width else F.shiftright("v", above) == F.col("lead"),
         )
-        .where((F.col("before") < F.col("target")) & (F.col("upto") >= F.col("target")))
-        .select("block", (F.col("target") - F.col("before")).alias("target"))
-    )
-
-    inside = counted.join(F.broadcast(home), upper == F.col("block"))
-    return (
-        inside.select(
-            "v",
-            "target",
-            F.sum("n")
-            .over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-            .alias("upto"),
+        blocks = inside.groupBy(block.alias("block"), "target").agg(F.sum("n").alias("n"))
+        running = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+        upto = F.sum("n").over(running)
+        home = (
+            blocks.select("block", "target", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+            .where((F.col("before") < F.col("target")) & (F.col("upto") >= F.col("target")))
+            .select(F.col("block").alias("lead"), (F.col("target") - F.col("before")).alias("target"))
         )
-        .where(F.col("upto") >= F.col("target"))
-        .agg(F.min("v").alias("median"))
-    )
+    return home.agg(F.min("lead").cast(df.schema[column].dataType).alias("median"))
 
 
 def fill_with_batch_median(df: DataFrame, column: str, null_as_zero: bool = True) -> DataFrame:
@@ -70,7 +63,8 @@ def fill_with_batch_median(df: DataFrame, column: str, null_as_zero: bool = True
     no median. Kept because the original steps work this way: the value
     replaces the column. To fill nulls only, use `impute` or `MedianFill`.
 
-    `null_as_zero` takes the median over zero-filled values.
+    The median is `approx_median`, as in the pipeline stage of the same name.
+    `null_as_zero` takes it over zero-filled values.
     """
     source = df.select(F.coalesce(column, F.lit(0)).alias(column)) if null_as_zero else df
-    return df.withColumn(column, F.coalesce(median(source, column).scalar(), F.lit(0)))
+    return df.withColumn(column, F.coalesce(approx_median(source, column).scalar(), F.lit(0)))

@@ -35,12 +35,22 @@ def sql_stage(
 
 
 def clean_stage(required: Sequence[str], zero_fill: Sequence[str] = ()) -> SQLTransformer:
-    """Pin names and types, then drop cancelled and incomplete rows."""
-    pinned = {}
-    for name, kind in FLIGHT_COLUMNS.items():
-        typed = f"try_cast({name} AS {kind.simpleString()})"
-        pinned[name] = f"coalesce({typed}, 0)" if name in zero_fill else typed
-    conditions = [f"{name} IS NOT NULL" for name in required] + ["Cancelled <> 1"]
+    """Pin names and types, then drop cancelled and incomplete rows.
+
+    A WHERE sees the input's columns, so it tests the typed values, not the
+    input's: text that is no number counts as missing. Where the input already
+    has the type, the cast falls away and the test reaches the scan.
+    """
+
+    def typed(name: str) -> str:
+        return f"try_cast({name} AS {FLIGHT_COLUMNS[name].simpleString()})"
+
+    pinned = {
+        name: f"coalesce({typed(name)}, 0)" if name in zero_fill else typed(name)
+        for name in FLIGHT_COLUMNS
+    }
+    conditions = [f"{typed(name)} IS NOT NULL" for name in required]
+    conditions.append(f"{typed('Cancelled')} <> 1")
     return sql_stage(pinned, keep="", where=" AND ".join(conditions))
 
 
@@ -67,7 +77,8 @@ def time_stage(
 
 
 def batch_median(column: str = "TaxiOut") -> str:
-    """The batch's own median for every row, as a scalar subquery."""
+    """The batch's own median for every row, as a scalar subquery; the same
+    approximate median as `fill_with_batch_median`."""
     return f"coalesce((SELECT percentile_approx({column}, 0.5) FROM __THIS__), 0)"
 
 

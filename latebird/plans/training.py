@@ -19,12 +19,11 @@ from pyspark.ml.regression import (
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 from pyspark.storagelevel import StorageLevel
 from pyspark.util import inheritable_thread_target
 
 from latebird.functions.bucket import fold
-from latebird.operators.encoding import ALL_FEATURES, FEATURES
+from latebird.operators.encoding import FEATURES
 from latebird.operators.leaderboard import best_model, with_score
 from latebird.operators.metrics import compare_predictions
 from latebird.plans.recipes import DETAILED, Recipe
@@ -33,8 +32,6 @@ from latebird.session import drop_staged, shared_dir, stage_table
 
 DEFAULT_SEED = 89
 FOLD = "fold"
-# Integers that make up a fold number; more would only lengthen the expression.
-FOLD_INTEGERS = 10
 
 
 def decision_tree(seed: int = DEFAULT_SEED, **params: Any) -> DecisionTreeRegressor:
@@ -141,10 +138,10 @@ def model_rows(flights: DataFrame, recipe: Recipe) -> DataFrame:
 
 
 def with_fold(df: DataFrame, folds: int, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Add a fold number made of the row's integers. It stays the same when a
-    task re-runs elsewhere, which a random draw over shuffled rows does not."""
-    integers = [f.name for f in df.schema.fields if isinstance(f.dataType, IntegerType)]
-    return df.withColumn(FOLD, F.expr(fold(seed + 1, folds, integers[:FOLD_INTEGERS])))
+    """Add a fold number made of all columns of the row. It stays the same when a
+    task re-runs elsewhere, which a random draw over shuffled rows does not, and
+    does not depend on the order of the columns."""
+    return df.withColumn(FOLD, F.expr(fold(seed + 1, folds, sorted(df.columns))))
 
 
 def _in_threads(
@@ -191,21 +188,10 @@ def _encode(encoder: PipelineModel, rows: DataFrame) -> DataFrame:
     return encoder.transform(rows).select(LABEL, FEATURES)
 
 
-def fit_encoder(
-    rows: DataFrame, recipe: Recipe, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK
-) -> PipelineModel:
-    """Fit a recipe's encoder. The feature selector goes over its input several
-    times, so that input is kept while it is fitted."""
-    steps = recipe.encoder_stages()
-    if not recipe.top_features:
-        return Pipeline(stages=steps).fit(rows)
-    before = Pipeline(stages=steps[:-1]).fit(rows)
-    wide = before.transform(rows).select(LABEL, ALL_FEATURES).persist(storage)
-    try:
-        selector = steps[-1].fit(wide)
-    finally:
-        wide.unpersist()
-    return PipelineModel(before.stages + [selector])
+def fit_encoder(rows: DataFrame, recipe: Recipe) -> PipelineModel:
+    """Fit a recipe's encoder; `rows` should be a stored table, since each
+    learning stage reads it once."""
+    return Pipeline(stages=recipe.encoder_stages()).fit(rows)
 
 
 def cross_validate(
@@ -217,6 +203,7 @@ def cross_validate(
     parallelism: int = 1,
     parallel_folds: int = 1,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    prefitted: PipelineModel | None = None,
 ) -> list[GridResult]:
     """k-fold cross-validation of several regressors at once.
 
@@ -226,6 +213,10 @@ def cross_validate(
     over the held-out rows. Whole-pipeline cross-validation gives the same
     metrics but fits the encoder once per regressor and grid point.
 
+    With `prefitted`, an encoder fitted beforehand is used in every fold and only
+    the regressors are fitted: cheaper, but held-out rows have then had a part in
+    the encoding.
+
     `parallelism` is the number of fits running at a time within a fold, and
     `parallel_folds` that of folds; each running fold keeps its encoded rows.
     """
@@ -233,7 +224,7 @@ def cross_validate(
 
     def one_fold(number: int) -> list[tuple[float, float]]:
         kept = rows.where(F.col(FOLD) != number)
-        encoder = fit_encoder(kept, recipe, storage)
+        encoder = prefitted or fit_encoder(kept, recipe)
         encoded = _encode(encoder, kept).persist(storage)
         try:
             models = _fit_all(encoded, jobs, parallelism)
@@ -293,7 +284,7 @@ def train_model(
     spark = flights.sparkSession
     rows, path = stage_table(model_rows(flights, recipe), "train")
     try:
-        encoder = fit_encoder(rows, recipe, storage)
+        encoder = fit_encoder(rows, recipe)
         encoded = _encode(encoder, rows).persist(storage)
         try:
             model = estimator.fit(encoded)
@@ -351,7 +342,7 @@ def compare_models(
             storage=storage,
         )
         chosen = best_points(results)
-        encoder = fit_encoder(rows, recipe, storage)
+        encoder = fit_encoder(rows, recipe)
         encoded = _encode(encoder, rows).persist(storage)
         try:
             fitted = _fit_all(encoded, [(c.candidate, c.point) for c in chosen], parallelism)

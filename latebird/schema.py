@@ -42,7 +42,7 @@ FLIGHT_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in FLIGHT_COLUM
 LABEL = "ArrDelay"
 PREDICTION = "prediction"
 
-# Only known after take-off, so unusable as features.
+# Fixed values. Only known after take-off, so unusable as features.
 LEAKAGE_COLUMNS = (
     "ArrTime",
     "ActualElapsedTime",
@@ -56,10 +56,10 @@ LEAKAGE_COLUMNS = (
     "LateAircraftDelay",
 )
 
-# Carry no signal for a flight that took off.
+# Fixed values. Carry no signal for a flight that took off.
 UNINFORMATIVE_COLUMNS = ("Cancelled", "CancellationCode", "TailNum", "FlightNum")
 
-# A usable training row has all of these.
+# Fixed values. A usable training row has all of these.
 REQUIRED_COLUMNS = (
     "CRSDepTime",
     "CRSArrTime",
@@ -76,7 +76,7 @@ REQUIRED_COLUMNS = (
     "Distance",
 )
 
-# Known when the plane leaves the ground; TaxiOut is handled apart because it is filled.
+# Fixed values. Known when the plane leaves the ground; TaxiOut is handled apart because it is filled.
 TAKEOFF_COLUMNS = (
     "Year",
     "Month",
@@ -94,10 +94,10 @@ TAKEOFF_COLUMNS = (
     "Distance",
 )
 
-# Text columns whose most frequent values are worth a look.
+# Fixed values. Text columns whose most frequent values are worth a look.
 PROFILE_CATEGORIES = ("UniqueCarrier", "Origin", "Dest", "TailNum", "CancellationCode")
 
-# HHmm columns, each with the column it falls back to when null.
+# Fixed values. HHmm columns, each with the column it falls back to when null.
 CLOCK_COLUMNS: dict[str, str | None] = {
     "CRSDepTime": None,
     "CRSArrTime": None,

@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Set to true where a `file:` checkpoint folder is one that all machines mount.
+MOUNTED = "spark.latebird.checkpoint.mounted"
+
 LOCAL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -38,17 +41,22 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
     Only a local session may fall back to a temporary folder: on a cluster a
-    folder of the driver's machine would be invisible to the executors.
+    folder of the driver's machine would be invisible to the executors. For the
+    same reason a cluster's `file:` folder raises, unless the session says that
+    it is mounted on every machine (`MOUNTED`).
     """
+    local = spark.sparkContext.master.startswith("local")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not local and configured.startswith("file:") and spark.conf.get(MOUNTED, "") != "true":
+            raise ValueError(f"{configured} is a machine's own folder; if it is mounted, set {MOUNTED}")
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     fallback = tempfile.mkdtemp(prefix="latebird-")
     spark.sparkContext.setCheckpointDir(fallback)

@@ -1,8 +1,15 @@
 from latebird.sources.flights import (
+    count_malformed,
     read_flights_csv,
     read_flights_parquet,
     write_flights_csv,
     write_table,
 )
 
-__all__ = ["read_flights_csv", "read_flights_parquet", "write_flights_csv", "write_table"]
+__all__ = [
+    "count_malformed",
+    "read_flights_csv",
+    "read_flights_parquet",
+    "write_flights_csv",
+    "write_table",
+]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from latebird.schema import FLIGHT_COLUMNS
@@ -18,6 +19,7 @@ def read_flights_csv(
     *,
     infer: bool = False,
     null_token: str = NULL_TOKEN,
+    fail_fast: bool = False,
 ) -> DataFrame:
     """Read headed flight CSVs: one file, several files, a glob or a directory.
 
@@ -27,9 +29,14 @@ def read_flights_csv(
     extra time and may give batches different types. `enforceSchema=False`
     makes Spark compare every file's header, so a file whose columns are in
     another order than the first one's fails instead of filling wrong columns.
+
+    A cell that is no value of its type becomes null, unless `fail_fast` makes it
+    fail the job; `count_malformed` says how many lines hold such cells.
     """
     paths = path if isinstance(path, str) else list(path)
     reader = spark.read.option("header", True).option("nullValue", null_token)
+    if fail_fast:
+        reader = reader.option("mode", "FAILFAST")
     if infer:
         return reader.option("inferSchema", True).csv(paths)
     header = reader.csv(paths).columns
@@ -39,6 +46,21 @@ def read_flights_csv(
     return reader.option("enforceSchema", False).schema(schema).csv(paths)
 
 
+def count_malformed(
+    spark: SparkSession, path: str | Sequence[str], *, null_token: str = NULL_TOKEN
+) -> int:
+    """Lines of flight CSVs with a cell that is no value of its declared type, or
+    with too few or too many cells."""
+    paths = path if isinstance(path, str) else list(path)
+    reader = spark.read.option("header", True).option("nullValue", null_token)
+    fields = [T.StructField(n, FLIGHT_COLUMNS.get(n, T.StringType())) for n in reader.csv(paths).columns]
+    schema = T.StructType([*fields, T.StructField("_malformed", T.StringType())])
+    lines = reader.option("columnNameOfCorruptRecord", "_malformed").schema(schema).csv(paths)
+    # The parser looks only at cells that are asked for, so all of them are.
+    seen = lines.select("_malformed", F.xxhash64(*[f.name for f in fields]).alias("cells"))
+    return seen.agg(F.count("_malformed").alias("n"), F.bit_xor("cells")).first()["n"]
+
+
 def read_flights_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Read flights kept as Parquet; filters and column lists reach the scan."""
     return spark.read.parquet(path)

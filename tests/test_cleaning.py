@@ -1,10 +1,12 @@
 """Filters, projections, splits, medians, profiling."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from latebird.functions.bucket import BUCKETS, bucket, fold
+from latebird.functions.bucket import BUCKETS, SPLIT_COLUMNS, bucket, fold
 from latebird.operators import cleaning, median, profile
 from latebird.plans import stages
 from latebird.schema import FLIGHT_COLUMNS, REQUIRED_COLUMNS
@@ -68,7 +70,7 @@ def test_split_ignores_partitioning(flights):
 
 def test_buckets_are_even_and_seeds_unrelated(flights):
     pairs = flights.selectExpr(
-        f"{bucket(89)} < {BUCKETS // 2} AS a", f"{fold(90, 2)} = 0 AS b", f"{bucket(89)} AS n"
+        f"{bucket(89)} < {BUCKETS // 2} AS a", f"{fold(90, 2, SPLIT_COLUMNS)} = 0 AS b", f"{bucket(89)} AS n"
     )
     assert pairs.where(~F.col("n").between(0, BUCKETS - 1)).isEmpty()
     total = pairs.count()
@@ -106,8 +108,6 @@ def test_median(spark, values, expected):
 
 
 def test_median_against_sorting(spark):
-    import random
-
     draw = random.Random(3)
     for size in (10, 101, 500):
         values = [draw.randrange(-200_000, 200_000) for _ in range(size)]
@@ -115,9 +115,39 @@ def test_median_against_sorting(spark):
         assert median.median(df, "x").first()[0] == sorted(values)[(size + 1) // 2 - 1]
 
 
-def test_median_of_other_types_is_the_approximate_one(spark):
+def test_median_of_other_types_raises(spark):
     df = spark.createDataFrame([(1.5,), (2.5,), (9.0,)], "x double")
-    assert median.median(df, "x").first()[0] == 2.5
+    with pytest.raises(TypeError):
+        median.median(df, "x")
+    assert median.approx_median(df, "x").first()[0] == 2.5
+
+
+def test_median_of_bigints_is_exact(spark):
+    draw = random.Random(4)
+    values = [draw.randrange(-(1 << 63), 1 << 63) for _ in range(301)] + [0] * 3
+    df = spark.createDataFrame([(v,) for v in values], "x long").repartition(5)
+    assert median.median(df, "x").first()[0] == sorted(values)[(len(values) + 1) // 2 - 1]
+
+
+def test_seeds_and_shares_are_taken_whole(flights):
+    assert bucket(89) != bucket(1089)
+    both = flights.selectExpr(f"{bucket(89)} < 5000 AS a", f"{bucket(1089)} < 5000 AS b")
+    same = both.where("a = b").count() / both.count()
+    assert 0.4 < same < 0.6
+    for seed in (-1, 10**6):
+        with pytest.raises(ValueError):
+            bucket(seed)
+    with pytest.raises(ValueError):
+        cleaning.hash_split(flights, train_share=0.80005)
+
+
+def test_one_pass_parts_are_those_of_the_split(flights):
+    marked = cleaning.with_part(flights)
+    train, test = cleaning.hash_split(flights)
+    assert {r["part"]: r["count"] for r in marked.groupBy("part").count().collect()} == {
+        "train": train.count(),
+        "test": test.count(),
+    }
 
 
 def test_batch_median_replaces_every_value(make_flights):

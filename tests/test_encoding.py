@@ -102,3 +102,61 @@ def test_selection_keeps_the_strongest_and_names_them(spark):
     r2 = df.select(F.pow(F.corr("signal", "ArrDelay"), F.lit(2))).first()[0]
     assert best["name"] == "signal"
     assert best["f_value"] == pytest.approx(r2 / (1 - r2) * 198, rel=1e-6)
+
+
+def test_selection_ranks_by_f_where_every_p_value_is_zero(spark):
+    """Thirty weak slots and, last, a strong one: with these rows all p-values are 0."""
+    weak = [f"w{i}" for i in range(30)]
+    df = spark.range(0, 60_000, numPartitions=4).selectExpr(
+        "CAST(pmod(hash(id, 1), 1000) AS INT) AS ArrDelay",
+        *[f"CAST(pmod(hash(id, 1), 1000) + 6 * pmod(hash(id, {i + 2}), 1000) AS DOUBLE) AS w{i}" for i in range(30)],
+        "CAST(pmod(hash(id, 1), 1000) + pmod(hash(id, 99), 10) AS DOUBLE) AS strong",
+    )
+    columns = [*weak, "strong"]
+    stages = [
+        encoding.numeric_assembler(columns),
+        encoding.numeric_scaler(),
+        encoding.feature_assembler([], encoding.ALL_FEATURES),
+    ]
+    encoded = Pipeline(stages=stages).fit(df).transform(df)
+    selector = encoding.top_feature_selector(20).fit(encoded)
+    assert 30 in selector.getIndices() and len(selector.getIndices()) == 20
+    chosen = encoding.selected_features(selector, encoded, columns).collect()
+    assert max(chosen, key=lambda r: r["f_value"])["name"] == "strong"
+
+
+def test_slot_scores_of_categories(spark):
+    rows = [("ab"[i % 3 == 0], "xyz"[i % 3], i % 3 * 10 + i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "c string, d string, ArrDelay int").selectExpr("*", "1.0D AS k")
+    stages = [
+        encoding.string_indexer(["c", "d"]),
+        encoding.one_hot_encoder(["c", "d"]),
+        encoding.numeric_assembler(["k"]),
+        encoding.numeric_scaler(),
+        encoding.feature_assembler(["c", "d"], encoding.ALL_FEATURES),
+    ]
+    encoded = Pipeline(stages=stages).fit(df).transform(df)
+    names = encoding.feature_names(encoded, encoding.ALL_FEATURES)
+    got = {names[r["slot"]]: r["f_value"] for r in encoding.slot_scores(encoded).collect()}
+    for name in names[:-1]:
+        column, value = name.split("_ohe_")
+        flag = df.withColumn("flag", (F.col(column) == value).cast("double"))
+        r2 = flag.select(F.corr("flag", "ArrDelay")).first()[0] ** 2
+        assert got[name] == pytest.approx(r2 / (1 - r2) * 58, rel=1e-6)
+    assert got[names[-1]] == 0
+
+
+def test_selector_saves_with_a_pipeline(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorSlicer
+
+    model = PipelineModel([VectorSlicer(inputCol="a", outputCol="b", indices=[1, 3])])
+    model.write().overwrite().save(str(tmp_path / "m"))
+    assert PipelineModel.load(str(tmp_path / "m")).stages[0].getIndices() == [1, 3]
+
+
+def test_too_many_labels_raise(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(20)], "x string")
+    with pytest.raises(ValueError, match="20 different values"):
+        encoding.string_indexer(["x"], most=19).fit(df)
+    assert len(encoding.string_indexer(["x"], most=20).fit(df).labelsArray[0]) == 20

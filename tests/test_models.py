@@ -101,7 +101,9 @@ def test_score_files(spark, parts, tree, tmp_path):
     assert result.sample.count() == 10
     expected = _report(score_batch(tree, parts[1]))
     got = {r["metric"]: r["value"] for r in result.report.collect()}
-    assert got == pytest.approx(expected)
+    read, scored = parts[1].count(), result.predictions.count()
+    counts = {"read": read, "scored": scored, "dropped": read - scored}
+    assert got == pytest.approx(expected | counts)
 
 
 def test_grids_have_the_stated_sizes():
@@ -171,3 +173,86 @@ def test_comparison(parts):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
+
+
+def test_folds_look_at_every_column(spark):
+    """Rows that differ in one late column only still go to different folds."""
+    columns = [f"c{i:02d}" for i in range(14)]
+    row = ", ".join(f"1 AS {c}" for c in columns)
+    df = spark.range(300).selectExpr(*row.split(", "), "CAST(id AS INT) AS last", "CAST(id AS STRING) AS text")
+    counts = [r["count"] for r in training.with_fold(df, 3).groupBy("fold").count().collect()]
+    assert len(counts) == 3 and min(counts) > 60
+    named = training.with_fold(df.select(*columns, "text"), 3)
+    assert named.select("fold").distinct().count() == 3
+    shuffled = training.with_fold(df.select("text", *reversed(columns), "last"), 3)
+    same = training.with_fold(df, 3).join(shuffled.select("text", F.col("fold").alias("g")), "text")
+    assert same.where("fold <> g").isEmpty()
+
+
+def test_jobs(spark, flights, tmp_path):
+    from latebird.jobs.train import train
+
+    write_flights_csv(flights, str(tmp_path / "in"))
+    board = train(
+        spark, str(tmp_path / "in"), str(tmp_path / "model"), recipe="compact", names=("Decision Tree",), folds=2
+    )
+    assert [r["name"] for r in board.collect()] == ["Decision Tree"]
+    result = score_files(
+        spark, str(tmp_path / "in"), str(tmp_path / "model"), str(tmp_path / "out"), report_path=str(tmp_path / "r")
+    )
+    stored = {r["metric"]: r["value"] for r in spark.read.parquet(str(tmp_path / "r")).collect()}
+    assert stored["read"] == flights.count() and stored["scored"] == result.predictions.count()
+
+
+def test_invariants_fail_when_the_operator_is_broken(spark, parts, tree):
+    """Each query without plain check SQL, with its operator deliberately broken."""
+    from latebird.catalog import models
+
+    train = score_batch(tree, parts[0], require_label=True).select("ArrDelay", "prediction").cache()
+    shifted = train.withColumn("prediction", F.col("prediction") + 0.01)
+    row = models.means(train).first()
+    assert row["mean_label"] == pytest.approx(row["mean_prediction"], abs=1e-5)
+    row = models.means(shifted).first()
+    assert abs(row["mean_label"] - row["mean_prediction"]) > 5e-3
+    assert models.leaf_mismatches(train).first()["mismatched_leaves"] == 0
+    assert models.leaf_mismatches(shifted).first()["mismatched_leaves"] > 0
+    noise = train.withColumn("prediction", F.col("ArrDelay") * 3.0)
+    assert models.against_baseline(train).first()["below_baseline"]
+    assert not models.against_baseline(noise).first()["below_baseline"]
+    unscored = train.withColumn("prediction", F.lit(None).cast("double"))
+    assert models.against_baseline(unscored).first()["predicted"] == 0
+    assert models.unknown_rows(train.limit(10), train).first() == (10, 0)
+    assert models.unknown_rows(shifted.limit(10), train).first()["unknown"] == 10
+    test = score_batch(tree, parts[1])
+    assert models.differences(test, test).first()["changed"] == 0
+    other = training.train_model(parts[0], training.decision_tree(maxDepth=3))
+    assert models.differences(test, score_batch(other, parts[1])).first()["changed"] > 0
+    board = spark.createDataFrame([(0, "a", 5.0, 1.0, 5.0, "RMSE")], "order_no int, name string, rmse double, mae double, score double, metric string")
+    judged = models.judged_leaderboard(board, 4.0).first()
+    assert not (judged["below_baseline"] or judged["score_by_rule"] or judged["metric_by_rule"])
+    grid = spark.createDataFrame([("a", 0, "p", 5.0, 6.0)], "name string, point_no int, params string, rmse double, mae double")
+    judged = models.judged_grid(grid, 4.0).first()
+    assert not (judged["below_baseline"] or judged["consistent"])
+    train.unpersist()
+
+
+def test_cluster_refuses_a_machines_own_folder(monkeypatch):
+    from latebird import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return "x"
+
+    class Conf(dict):
+        pass
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf({"spark.checkpoint.dir": "file:///tmp/x"})
+
+    with pytest.raises(ValueError, match="own folder"):
+        session.shared_dir(Session())
+    Session.conf[session.MOUNTED] = "true"
+    assert session.shared_dir(Session()) == "file:///tmp/x"

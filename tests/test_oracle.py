@@ -16,6 +16,7 @@ TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP",
 }

@@ -1,8 +1,11 @@
 """CSV and Parquet."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from latebird.schema import FLIGHT_COLUMNS, FLIGHT_SCHEMA
+from latebird.operators import cleaning
+from latebird.plans import stages
+from latebird.schema import FLIGHT_COLUMNS, FLIGHT_SCHEMA, REQUIRED_COLUMNS
 from latebird.sources import (
     read_flights_csv,
     read_flights_parquet,
@@ -82,3 +85,48 @@ def test_parquet_by_year(spark, flights, tmp_path):
     assert _same(back, flights)
     plan = back.where("Year = 1996")._jdf.queryExecution().executedPlan().toString()
     assert "Year" in plan.split("PartitionFilters", 1)[1].split("]", 1)[0]
+
+
+def test_malformed_cells_are_counted_or_fail(spark, make_flights, tmp_path):
+    from latebird.sources import count_malformed
+
+    path = str(tmp_path / "in")
+    write_flights_csv(make_flights({}, {"DepDelay": 7}), path)
+    assert count_malformed(spark, path) == 0
+    files = [f for f in (tmp_path / "in").iterdir() if f.suffix == ".csv"]
+    with_rows = next(f for f in files if len(f.read_text().splitlines()) > 1)
+    lines = with_rows.read_text().splitlines()
+    place = lines[0].split(",").index("DepDelay")
+    cells = lines[1].split(",")
+    cells[place] = "x"
+    with_rows.write_text("\n".join([lines[0], ",".join(cells), *lines[2:]]) + "\n")
+    copy = tmp_path / "copy"
+    copy.mkdir()
+    for f in files:
+        (copy / f.name).write_text(f.read_text())
+    assert count_malformed(spark, str(copy)) == 1
+    assert read_flights_csv(spark, str(copy)).where("DepDelay IS NULL").count() == 1
+    with pytest.raises(Exception):
+        read_flights_csv(spark, str(copy), fail_fast=True).collect()
+
+
+@pytest.mark.parametrize("name", [*REQUIRED_COLUMNS, "Cancelled"])
+def test_clean_stage_on_text_drops_what_is_no_value(flights, name):
+    """The stage and the direct path agree where a column comes as text, partly bad."""
+    kind = dict(flights.dtypes)[name]
+    text = flights.limit(400).withColumn(
+        name, F.expr(f"CASE WHEN pmod(hash(*), 2) = 0 THEN 'x' ELSE CAST({name} AS STRING) END")
+        if kind != "string" else F.expr(f"CASE WHEN pmod(hash(*), 2) = 0 THEN NULL ELSE {name} END"),
+    ).cache()
+    staged = stages.clean_stage(REQUIRED_COLUMNS).transform(text)
+    direct = cleaning.clean_flights(cleaning.pin_columns(text, zero_fill=()))
+    assert staged.where(" OR ".join(f"{c} IS NULL" for c in REQUIRED_COLUMNS)).isEmpty()
+    assert 0 < staged.count() == direct.count() < 400
+    assert staged.select(*direct.columns).exceptAll(direct).isEmpty()
+    text.unpersist()
+
+
+def test_clean_stage_keeps_pushdown_on_typed_input(flights):
+    plan = stages.clean_stage(REQUIRED_COLUMNS).transform(flights)._jdf.queryExecution().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "IsNotNull(CRSDepTime)" in plan and "IsNotNull" in pushed
