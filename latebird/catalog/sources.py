@@ -3,6 +3,10 @@ null, in the shared folder, once per session and data directory."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+
 from latebird.catalog import query
 from latebird.catalog.flights import check_sql, flights
 from latebird.operators import profile
@@ -26,9 +30,9 @@ def _csv_dir(spark, sf_dir) -> str:
 
 @query("csv_scan", _ALL)
 def csv_scan(spark, sf_dir):
-    # File by file, each named by its path.
+    """One file at a time, each by its own read."""
     files = spark.read.text(_csv_dir(spark, sf_dir)).inputFiles()
-    return read_flights_csv(spark, files)
+    return reduce(DataFrame.unionByName, [read_flights_csv(spark, file) for file in files])
 
 
 @query("csv_scan_dir", _ALL)
