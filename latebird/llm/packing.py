@@ -202,15 +202,14 @@ def pack_documents(
     ship_package(docs.sparkSession)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(tokenizer_name).encode
+        encode = tokenizer(tokenizer_name).rows
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         packer = Packer(limits)
         out = _Rows(TaskContext.get().partitionId() << TASK_BITS)
         for batch in batches:
-            all_ids, starts = encode(batch.column(1))
             columns = (batch.column(0).to_pylist(), batch.column(2).to_pylist())
-            for i, (doc_id, first) in enumerate(zip(*columns)):
-                ids = memoryview(all_ids[starts[i] : starts[i + 1]].tobytes() + end)
+            for doc_id, first, own in zip(*columns, encode(batch.column(1))):
+                ids = memoryview(own.tobytes() + end)
                 piece = Piece(doc_id, 0, ids, len(ids) // 4, first)
                 for sequence in packer.add(piece):
                     yield from out.add(sequence)

@@ -207,19 +207,18 @@ def write_token_files(
     width = bits_for(vocabulary)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(tokenizer_name).encode
+        encode = tokenizer(tokenizer_name).rows
         end = np.array([] if end_id is None else [end_id], "<u4")
         shard = TaskContext.get().partitionId()
         name = f"{folder}/ids-{shard:06d}-{uuid.uuid4().hex}.bin"
         writer = None
         for batch in batches:
-            ids, starts = encode(batch.column(1))
             if writer is None and batch.num_rows:
                 system, path = _filesystem(folder)
                 system.create_dir(path, recursive=True)
                 writer = TokenFileWriter(name, width, block_ids)
-            for i, doc_id in enumerate(batch.column(0).to_pylist()):
-                writer.add(doc_id, np.concatenate((ids[starts[i] : starts[i + 1]], end)))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                writer.add(doc_id, np.concatenate((ids, end)))
         if writer is not None:
             n_docs, n_ids, n_bytes = writer.close()
             yield pa.RecordBatch.from_arrays(

@@ -12,6 +12,8 @@ tokenizer on whole texts.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -19,12 +21,17 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# Spark's tasks are the parallelism; threads within each would only add memory.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 #: Bytes of text handled at once, at least one piece; texts are cut on the way.
-STRETCH = 8 << 20
+STRETCH = 4 << 20
 #: Pieces remembered before the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
 #: Pieces handed to the tokenizer in one string.
 TOGETHER = 200
+#: Such strings encoded at a time.
+STRINGS = 32
 
 
 def _places(data: np.ndarray) -> np.ndarray:
@@ -40,14 +47,17 @@ def _places(data: np.ndarray) -> np.ndarray:
 
 
 class WordTokenizer:
-    """Encodes columns of texts; keeps the ids of the pieces it has met."""
+    """Encodes columns of texts; keeps the ids of the pieces it has met.
+
+    `name`: one of the installed public tokenizers, or the path of a tokenizer
+    file, on every worker, whose rules part words before white space.
+    """
 
     def __init__(self, name: str, remembered: int = REMEMBERED, stretch: int = STRETCH):
         from tokenizers import Tokenizer
 
-        self.plain, self.parted = (
-            Tokenizer.from_file(public_tokenizers.path(name)) for _ in range(2)
-        )
+        file = name if os.path.isabs(name) else public_tokenizers.path(name)
+        self.plain, self.parted = (Tokenizer.from_file(file) for _ in range(2))
         for tokenizer in (self.plain, self.parted):
             tokenizer.no_padding()
             tokenizer.no_truncation()
@@ -66,6 +76,18 @@ class WordTokenizer:
         self._ids = np.zeros(1 << 14, "<u4")
         self._used = 0
 
+    def rows(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each of `texts`, encoded in groups of about `stretch` bytes."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            past = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, past + self.stretch, side="right")))
+            ids, starts = self.encode(texts.slice(at, to - at))
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield ids[a:b]
+            at = to
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all `texts` (without nulls) as little-endian unsigned
         32-bit numbers, and where each text's ids begin, and the last end."""
@@ -134,12 +156,15 @@ class WordTokenizer:
             encoded = self.plain.encode_batch_fast(pieces, add_special_tokens=False)
             lengths = np.fromiter((len(e.ids) for e in encoded), np.int64, len(pieces))
             return np.fromiter(chain.from_iterable(e.ids for e in encoded), "<u4"), lengths
-        strings = [
-            self.mark.join(pieces[i : i + TOGETHER]) + self.mark
-            for i in range(0, len(pieces), TOGETHER)
-        ]
-        encoded = self.parted.encode_batch_fast(strings, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), "<u4")
+        parts = []
+        for at in range(0, len(pieces), TOGETHER * STRINGS):  # an encoding is large: a few at a time
+            strings = [
+                self.mark.join(pieces[i : i + TOGETHER]) + self.mark
+                for i in range(at, min(at + TOGETHER * STRINGS, len(pieces)), TOGETHER)
+            ]
+            encoded = self.parted.encode_batch_fast(strings, add_special_tokens=False)
+            parts.append(np.fromiter(chain.from_iterable(e.ids for e in encoded), "<u4"))
+        ids = np.concatenate(parts)
         ends = np.flatnonzero(ids == self.mark_id)
         lengths = np.diff(ends, prepend=-1) - 1
         return np.delete(ids, ends), lengths
