@@ -319,8 +319,10 @@ def fingerprint_hex(fp: str = "fp") -> F.Column:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` without all but one of each group of near copies: the
-    one with the smallest doc_id stays (of repeated rows one). Rows with a null
-    doc_id cannot be named and stay as they are. All columns are kept."""
+    one with the smallest doc_id stays. Of rows that repeat a doc_id and its text
+    one stays; rows that give a doc_id another text cannot be told apart by it and
+    stay or go together. Rows with a null doc_id cannot be named and stay as they
+    are. All columns are kept."""
     named = docs.where("doc_id IS NOT NULL")
     marker = unused_name(docs, "kept_id")
     kept = (
@@ -330,4 +332,4 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     once = named.join(kept, F.col("doc_id").cast("long") == F.col(marker), "left_semi")
-    return once.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    return once.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
