@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from latebird.llm.common import ship_package, text_or_empty, unused_name
 BUCKETS = 1 << 22
 #: Labelled documents in the fit; the fewest of them in which a feature stands, and
 #: the least likelihood-ratio statistic that ties it to the grade.
-SAMPLE = 16_000
+SAMPLE = 8_000
 LEAST_DOCUMENTS = 5
 LEAST_RATIO = 20.0
 #: The least difference in log odds of a feature's presence between neighbouring grades.
@@ -106,14 +107,22 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds - scores[:, None], -50, 50)))
 
 
+def _counts(features: np.ndarray, n: int) -> np.ndarray:
+    """np.bincount, a stretch at a time: it copies its input to wide integers."""
+    total = np.zeros(n, np.int32)
+    for at in range(0, len(features), 1 << 20):
+        total += np.bincount(features[at : at + (1 << 20)], minlength=n).astype(np.int32)
+    return total
+
+
 def likelihood_ratio(
     features: np.ndarray, grades: np.ndarray, of_grade: np.ndarray, n: int
 ) -> np.ndarray:
     """The G statistic of the presence of each of `n` features against the grade, 0
     where the odds of presence are alike in all grades; `of_grade`: documents of each."""
-    with_feature = np.stack(
-        [np.bincount(features[grades == g], minlength=n) for g in range(len(of_grade))]
-    ).astype(float)
+    with_feature = np.stack([_counts(features[grades == g], n) for g in range(len(of_grade))]).astype(
+        float
+    )
     without = of_grade[:, None] - with_feature
     total = 0.0
     for observed in (with_feature, without):
@@ -149,22 +158,23 @@ def _fit_thresholds(scores, grades, thresholds):
     return np.maximum.accumulate(out + np.arange(len(out)) * 1e-6)
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> OrdinalModel:
-    """The model from rows of features and grades 0 to n_grades - 1."""
+def fit_ordinal(
+    features: np.ndarray, counts: np.ndarray, grades: np.ndarray, n_grades: int
+) -> OrdinalModel:
+    """The model from the buckets of all documents, one document after another,
+    `counts` of them each, and grades 0 to n_grades - 1."""
     thresholds = np.zeros(n_grades - 1)
-    if not len(rows):  # nothing is known: every text has an even chance, none is rejected
+    if not len(grades):  # nothing is known: every text has an even chance, none is rejected
         return OrdinalModel({}, thresholds, 0.0)
-    held = np.arange(len(rows)) % HELD_OUT == HELD_OUT - 1
-    counts = np.fromiter(map(len, rows), np.int64, len(rows))
-    features, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), counts)
+    n = len(grades)
+    held = np.arange(n) % HELD_OUT == HELD_OUT - 1
+    owner = np.repeat(np.arange(n, dtype=np.int32), counts)
     # From here on features are numbered from 0, without the rare ones.
-    buckets = np.flatnonzero(
-        np.bincount(features[~held[owner]], minlength=BUCKETS) >= LEAST_DOCUMENTS
-    ).astype(np.int32)
-    place = np.full(BUCKETS, -1, np.int32)
-    place[buckets] = np.arange(len(buckets))
-    features = place[features]
-    owner, features = owner[features >= 0], features[features >= 0]
+    frequent = _counts(features[~held[owner]], BUCKETS) >= LEAST_DOCUMENTS
+    buckets = np.flatnonzero(frequent).astype(np.int32)
+    known = frequent[features]
+    owner = owner[known]
+    features = np.searchsorted(buckets, features[known]).astype(np.int32)
     fitted = ~held[owner]
     of_grade = np.bincount(grades[~held], minlength=n_grades)
     ratio = likelihood_ratio(features[fitted], grades[owner[fitted]], of_grade, len(buckets))
@@ -174,7 +184,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Or
     documents = np.split(owner[used][by_feature], starts[1:]) if len(names) else []
     share = (np.cumsum(of_grade)[:-1] + 0.5) / (of_grade.sum() + 1)
     thresholds = np.maximum.accumulate(np.log(share / (1 - share)) + np.arange(n_grades - 1) * 1e-3)
-    scores = np.zeros(len(rows))
+    scores = np.zeros(n)
     weights = np.zeros(len(buckets))
     order = np.argsort(-ratio[names], kind="stable")  # the strongest ties first
     for _ in range(PASSES):
@@ -195,7 +205,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Or
             break
     kept = np.flatnonzero(weights)
     model = OrdinalModel(dict(zip(buckets[kept].tolist(), weights[kept].tolist())), thresholds, 0.5)
-    scores = np.bincount(owner, weights[features], minlength=len(rows))
+    scores = np.bincount(owner, weights[features], minlength=n)
     tails, top = model.tails(scores)[held, -1], grades[held] == n_grades - 1
     cuts = np.unique(tails)
     if top.any() and not top.all():
@@ -247,11 +257,16 @@ def fit_quality(
         .dropDuplicates(["doc_id"])
         .toArrow()
     )
-    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
-    features = rows.column("features").to_pylist()
+    rows = rows.sort_by("doc_id")
+    packed = rows.column("features").combine_chunks()
+    if isinstance(packed, pa.ChunkedArray):
+        packed = packed.chunk(0) if packed.num_chunks else pa.array([], pa.binary())
+    sizes = pc.binary_length(packed).to_numpy(zero_copy_only=False)
+    data = packed.buffers()[2] if len(packed) else b""
     return fit_ordinal(
-        [np.frombuffer(features[i], "<i4") for i in order],
-        rows.column("grade").to_numpy()[order],
+        np.frombuffer(data, "<i4", int(sizes.sum()) // 4),
+        sizes // 4,
+        rows.column("grade").to_numpy(),
         n_grades,
     )
 
