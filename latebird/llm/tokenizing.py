@@ -25,9 +25,9 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes of text handled at once, at least one piece; texts are cut on the way.
-STRETCH = 4 << 20
+STRETCH = 6 << 20
 #: Pieces remembered before the memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
 #: Pieces handed to the tokenizer in one string.
 TOGETHER = 200
 #: Such strings encoded at a time.
