@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 from typing import Any
@@ -188,6 +189,25 @@ def _encode(encoder: PipelineModel, rows: DataFrame) -> DataFrame:
     return encoder.transform(rows).select(LABEL, FEATURES)
 
 
+@contextmanager
+def _kept(encoded: DataFrame, storage: StorageLevel | None) -> Iterator[DataFrame]:
+    """Encoded rows kept for the passes of a fit: by Spark's storage, or, where
+    `storage` is None, in the shared folder, which costs a write and holds nothing
+    on the executors."""
+    if storage is None:
+        table, path = stage_table(encoded, "encoded")
+        try:
+            yield table
+        finally:
+            drop_staged(encoded.sparkSession, path)
+    else:
+        encoded.persist(storage)
+        try:
+            yield encoded
+        finally:
+            encoded.unpersist()
+
+
 def fit_encoder(rows: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit a recipe's encoder; `rows` should be a stored table, since each
     learning stage reads it once."""
@@ -202,7 +222,7 @@ def cross_validate(
     folds: int = 3,
     parallelism: int = 1,
     parallel_folds: int = 1,
-    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
     prefitted: PipelineModel | None = None,
 ) -> list[GridResult]:
     """k-fold cross-validation of several regressors at once.
@@ -218,18 +238,18 @@ def cross_validate(
     the encoding.
 
     `parallelism` is the number of fits running at a time within a fold, and
-    `parallel_folds` that of folds; each running fold keeps its encoded rows.
+    `parallel_folds` that of folds; each running fold keeps its encoded rows, so
+    `parallel_folds` times nearly the whole training set is held at once. Where
+    the executors' storage does not take that, lower it, or give `storage=None`:
+    encoded rows then go to the shared folder.
     """
     jobs = [(candidate, point) for candidate in tried for point in candidate.grid]
 
     def one_fold(number: int) -> list[tuple[float, float]]:
         kept = rows.where(F.col(FOLD) != number)
         encoder = prefitted or fit_encoder(kept, recipe)
-        encoded = _encode(encoder, kept).persist(storage)
-        try:
+        with _kept(_encode(encoder, kept), storage) as encoded:
             models = _fit_all(encoded, jobs, parallelism)
-        finally:
-            encoded.unpersist()
         held_out = _encode(encoder, rows.where(F.col(FOLD) == number))
         measured = _measure({str(i): m for i, m in enumerate(models)}, held_out)
         return [(r["rmse"], r["mae"]) for r in measured.collect()]
@@ -274,7 +294,7 @@ def train_model(
     flights: DataFrame,
     estimator: Estimator,
     recipe: Recipe = DETAILED,
-    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> PipelineModel:
     """Fit one regressor and return the whole pipeline from raw flights on.
 
@@ -285,11 +305,8 @@ def train_model(
     rows, path = stage_table(model_rows(flights, recipe), "train")
     try:
         encoder = fit_encoder(rows, recipe)
-        encoded = _encode(encoder, rows).persist(storage)
-        try:
+        with _kept(_encode(encoder, rows), storage) as encoded:
             model = estimator.fit(encoded)
-        finally:
-            encoded.unpersist()
     finally:
         drop_staged(spark, path)
     return scoring_pipeline(recipe, encoder, model)
@@ -318,7 +335,7 @@ def compare_models(
     seed: int = DEFAULT_SEED,
     parallelism: int = 1,
     parallel_folds: int = 1,
-    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> Comparison:
     """Cross-validate every candidate, refit each at its best grid point on all
     training rows, measure it on the test rows and apply the score rule.
@@ -343,11 +360,8 @@ def compare_models(
         )
         chosen = best_points(results)
         encoder = fit_encoder(rows, recipe)
-        encoded = _encode(encoder, rows).persist(storage)
-        try:
+        with _kept(_encode(encoder, rows), storage) as encoded:
             fitted = _fit_all(encoded, [(c.candidate, c.point) for c in chosen], parallelism)
-        finally:
-            encoded.unpersist()
     finally:
         drop_staged(spark, path)
 

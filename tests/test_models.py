@@ -144,6 +144,14 @@ def test_cross_validation_equals_sparks_own_on_the_same_folds(folded):
     assert [r.rmse for r in ours] == pytest.approx(theirs.avgMetrics, rel=1e-9)
 
 
+def test_encoded_rows_in_the_shared_folder_give_the_same(folded):
+    tree = training.decision_tree()
+    tried = [training.Candidate("tree", tree, training.param_grid(tree, {"maxDepth": [2]}))]
+    kept = training.cross_validate(folded, COMPACT, tried)
+    stored = training.cross_validate(folded, COMPACT, tried, storage=None)
+    assert [r.rmse for r in stored] == pytest.approx([r.rmse for r in kept], rel=1e-9)
+
+
 def test_native_cross_validator_over_a_whole_workflow(parts):
     tree = training.decision_tree()
     cv = training.cross_validator(
