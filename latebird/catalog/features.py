@@ -281,7 +281,9 @@ _CATEGORIES = list(DETAILED.categories)
     ),
 )
 def assemble_features(spark, sf_dir):
-    features = _encoded(training.model_rows(flights(spark, sf_dir), DETAILED))
+    features = _encoded(training.model_rows(flights(spark, sf_dir), DETAILED)).select(
+        LABEL, F.col(encoding.FEATURES).cast("string").alias(encoding.FEATURES)
+    )
     size, places = sparse_form(encoding.FEATURES)
     form = features.select(LABEL, size.alias("n_features"), places.alias("places"))
     first_numeric = F.col("n_features") - len(DETAILED.numerics)

@@ -91,13 +91,14 @@ class FrequencyIndexer(Estimator):
             .groupBy("place", "value")
             .count()
         )
-        kinds = {r["place"]: r["kinds"] for r in counted.groupBy("place").agg(F.count("*").alias("kinds")).collect()}
-        for place, name in enumerate(self.columns):
-            if kinds.get(place, 0) > self.most:
-                raise ValueError(f"{name} has {kinds[place]} different values, more than {self.most}")
+        # Within the bound of each column all rows come; one more shows that a bound is passed.
+        rows = counted.limit(self.most * len(self.columns) + 1).collect()
         labels: list[list[str]] = [[] for _ in self.columns]
-        for r in sorted(counted.collect(), key=lambda r: (-r["count"], r["value"])):
+        for r in sorted(rows, key=lambda r: (-r["count"], r["value"])):
             labels[r["place"]].append(r["value"])
+        for name, own in zip(self.columns, labels):
+            if len(own) > self.most:
+                raise ValueError(f"{name} has {len(own)} different values or more, bound {self.most}")
         # One model per column: lists of different lengths do not reach one model whole.
         models = [
             StringIndexerModel.from_arrays_of_labels(
