@@ -1,8 +1,8 @@
 """Secret scan: pattern candidates, sifted by a random forest.
 
 Candidates are runs of 16 or more token signs with a digit among them, and
-values assigned to names such as token, secret or password. Most are numbers,
-names or words; the forest removes those. Its features are the candidate's
+values assigned to names such as token, secret or password, whatever signs they
+hold. Most are numbers, names or words; the forest removes those. Its features are the candidate's
 length and sign shares, transitions between kinds of sign and between vowels and
 consonants, how much of it the corpus dictionary covers, path signs in it and
 around it, its document's source, and the words before and after.
@@ -26,8 +26,23 @@ _SIGN = "A-Za-z0-9_+/="
 #: A run of token signs (and hyphens within) with a digit, of at least 16 signs.
 RUN = rf"(?<![{_SIGN}-])(?=[A-Za-z_+/=-]*+[0-9])[{_SIGN}-]{{16,}}+"
 NAMES = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer"
-#: A value behind a name and a sign of assignment.
-ASSIGNED = rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?([^\s\"'#%&*$|,;]{{6,}}+)"
+_NAMED = rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}"
+#: A quoted value behind a name and a sign of assignment, up to its closing quote. It is
+#: looked at ahead, so that a quote closed late hides no other value.
+QUOTED = (
+    _NAMED
+    + r"""["'](?=((?<=")(?:[^"\\]|\\[\s\S]){6,}+(?=")|(?<=')(?:[^'\\]|\\[\s\S]){6,}+(?=')))"""
+)
+_UNCLOSED = r"""(?:"(?!(?:[^"\\\r\n]|\\[^\r\n])*+")|'(?!(?:[^'\\\r\n]|\\[^\r\n])*+')|(?!["']))"""
+#: One without quotes, or with a quote that its line does not close: up to white space,
+#: without the marks at its end where six signs are left.
+UNQUOTED = _NAMED + _UNCLOSED + r"""(\S{5,}[^\s.,;:"')\]}>]|\S{6,}+)"""
+#: The same up to a separator with a further name behind it, as in `token=...&user=...`
+#: (the rest of other values is passed over: group 1 is empty there).
+PAIRED = (
+    _NAMED
+    + r"""["']?+(?:([^\s"'&;,|]{6,}+)(?=[&;,|]["']?[\w.-]{1,64}+["']?[=:])|[^\s"'&;,|]*+)"""
+)
 #: Signs of text looked at before and after a candidate.
 AROUND = 60
 #: Labelled findings in the fit; documents in which a dictionary word must stand.
@@ -65,9 +80,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     found = F.array_distinct(
         F.concat(
             F.regexp_extract_all(text, F.lit(RUN), F.lit(0)),
-            F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(1)),
+            *(F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in (QUOTED, UNQUOTED, PAIRED)),
         )
     )
+    found = F.filter(found, lambda c: c != "")
     at = "locate(c, text)"
     struct = F.expr(
         f"transform(found, c -> struct(c AS candidate, {at} AS start, "

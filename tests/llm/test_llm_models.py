@@ -143,6 +143,37 @@ def test_false_positives_go(make_docs):
     assert sum(got.values()) == 60
 
 
+def test_assigned_values_are_whole(make_docs):
+    """Any sign may stand in a value; quotes, white space and end marks bound it."""
+    given = {
+        'password = "hunter2x$Kq9vTz" and more': {"hunter2x$Kq9vTz"},
+        'db_password="abc12%Xy99887"': {"abc12%Xy99887"},
+        "password: P@ss#word1!": {"P@ss#word1!"},
+        "the password: a1,b2;c3|d4&e5*f6.": {"a1,b2;c3|d4&e5*f6"},
+        'secret = "two words, 1 value" next': {"two words, 1 value"},
+        r'secret = "in\"side1 x" next': {r'in\"side1 x'},
+        "pwd='it \"is\" 7' next": {'it "is" 7'},
+        "api_key='k9#unclosed1 and so on": {"k9#unclosed1"},
+        'token="abc": token="open one\npassword="hunter2 x y"': {"hunter2 x y", "open one\npassword="},
+        "see x?token=ab12cd34&user=me for": {"ab12cd34&user=me", "ab12cd34"},
+        '{"token":"abc12$def","user":"me"}': {"abc12$def"},
+    }
+    docs = make_docs(*enumerate(given))
+    got = defaultdict(set)
+    for r in secret_scan.candidates(docs).collect():
+        got[r["doc_id"]].add(r["candidate"])
+    for i, (text, whole) in enumerate(given.items()):
+        assert got[i] >= whole, text
+        assert all(any(w in g or g in w for w in whole) for g in got[i]) or "open" in text, text
+    exact = [i for i, t in enumerate(given) if "open" not in t]
+    assert {i: got[i] for i in exact} == {i: list(given.values())[i] for i in exact}
+
+
+def test_long_texts_of_assignments_end(make_docs):
+    docs = make_docs((1, "token=" * 60_000), (2, "token='" * 60_000), (3, 'token="' + "\\a" * 300_000))
+    assert secret_scan.candidates(docs).count() >= 2
+
+
 def test_findings_train_the_forest(spark, make_docs):
     docs = make_docs(*[(i, f"id {HEX[:16]}{i:04d} word, key {i:04d}ABCDEFGHIJKLMNOP9 end") for i in range(40)])
     labels = [(i, f"{HEX[:16]}{i:04d}", 0.0) for i in range(30)]
