@@ -73,33 +73,68 @@ FEATURES = (
 )
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, candidate, start, before, after): each distinct candidate
-    of a text, with its first place (from 1) and the signs around that."""
-    text = F.col("text")
-    found = F.array_distinct(
-        F.concat(
-            F.regexp_extract_all(text, F.lit(RUN), F.lit(0)),
-            *(F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in (QUOTED, UNQUOTED, PAIRED)),
-        )
+def _places(pattern: str, ahead: bool = False) -> Column:
+    """(start, candidate) of each match of `pattern` in the text, from 1. The candidate
+    is group 1, at the end of the match or right behind it (`ahead`)."""
+    # Each match with the signs since the last one; without \G the last one's rest is tried anew from each sign.
+    pattern = F.lit(rf"\G(?s:.*?){pattern}")
+    ends = F.aggregate(
+        F.regexp_extract_all("text", pattern, F.lit(0)),
+        F.array().cast("array<int>"),
+        lambda ends, m: F.array_append(
+            ends, F.coalesce(F.get(ends, F.size(ends) - 1), F.lit(0)) + F.length(m)
+        ),
+    )
+    return F.filter(
+        F.zip_with(
+            ends,
+            F.regexp_extract_all("text", pattern, F.lit(1)),
+            lambda end, c: F.struct(
+                (end + 1 - (F.lit(0) if ahead else F.length(c))).alias("start"), c.alias("candidate")
+            ),
+        ),
+        lambda c: c["candidate"] != "",
     )
-    found = F.filter(found, lambda c: c != "")
-    at = "locate(c, text)"
-    struct = F.expr(
-        f"transform(found, c -> struct(c AS candidate, {at} AS start, "
-        f"substring(text, greatest(1, {at} - {AROUND}), least({AROUND}, {at} - 1)) AS before, "
-        f"substring(text, {at} + length(c), {AROUND}) AS after))"
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, source, candidate, start, before, after): each distinct candidate
+    of a text with each distinct surrounding it is found in; the first place where
+    it stands (from 1), and the signs around the place found. `row` is the same for
+    the candidates of one row; it holds once they are written."""
+    # Places as strings, which are made distinct by hash: two lengths, then the signs around.
+    window = F.transform(
+        F.concat(_places(f"({RUN})"), _places(QUOTED, ahead=True), _places(UNQUOTED), _places(PAIRED)),
+        lambda c: F.concat_ws(
+            ":",
+            F.least(F.lit(AROUND), c["start"] - 1).cast("string"),
+            F.length(c["candidate"]).cast("string"),
+            F.substring(
+                F.col("text"),
+                F.greatest(F.lit(1), c["start"] - AROUND),
+                F.least(F.lit(AROUND), c["start"] - 1) + F.length(c["candidate"]) + AROUND,
+            ),
+        ),
     )
+    part = F.split("place", ":", 3)
     return (
         docs.select(
+            F.monotonically_increasing_id().alias("row"),
             F.col("doc_id").cast("long").alias("doc_id"),
             F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
             text_or_empty().alias("text"),
         )
-        .withColumn("found", found)
-        .where(F.size("found") > 0)
-        .select("doc_id", "source", F.explode(struct).alias("c"))
-        .select("doc_id", "source", "c.*")
+        .select("*", F.explode(F.array_distinct(window)).alias("place"))
+        .select("*", part[2].alias("around"), part[0].cast("int").alias("b"), part[1].cast("int").alias("n"))
+        .select(
+            "row",
+            "doc_id",
+            "source",
+            F.expr("substring(around, b + 1, n)").alias("candidate"),
+            F.expr("locate(substring(around, b + 1, n), text)").alias("start"),
+            F.expr("substring(around, 1, b)").alias("before"),
+            F.expr("substring(around, b + n + 1)").alias("after"),
+        )
     )
 
 
@@ -128,7 +163,12 @@ def featured(docs: DataFrame, found: DataFrame) -> DataFrame:
     of_source = docs.groupBy(
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")
     ).agg(F.count("*").alias("n_docs"))
-    in_source = found.groupBy("source").agg(F.count("*").alias("n_found"))
+    in_source = (
+        found.select("row", "source", "candidate")
+        .distinct()
+        .groupBy("source")
+        .agg(F.count("*").alias("n_found"))
+    )
     rates = in_source.join(of_source, "source").select(
         "source", (F.col("n_found") / F.col("n_docs")).alias("source_rate")
     )
@@ -194,7 +234,7 @@ def fit_forest(rows: DataFrame, label: Column, sample: int = SAMPLE):
     labelled = (
         rows.withColumn("label", label)
         .where("label IS NOT NULL")
-        .orderBy(F.xxhash64("doc_id", "candidate"), "doc_id", "candidate")
+        .orderBy(F.xxhash64("doc_id", "candidate"), "doc_id", "candidate", "before", "after")
         .limit(sample)
         .select(*FEATURES, "label")
     )
@@ -219,7 +259,8 @@ def scan_secrets(
     docs: DataFrame, findings: DataFrame | None = None, sample: int = SAMPLE, cut: float = 0.5
 ) -> DataFrame:
     """One row per document and distinct candidate: doc_id, candidate, start
-    (the first place, from 1), probability, is_secret.
+    (the first place, from 1), probability, is_secret. The probability is that of
+    the likeliest place: what is a secret in one place is one in all of them.
 
     `findings` (doc_id, candidate, label 1.0 or 0.0) trains the forest; without
     it, labels come from `labelled_by_rule`. Null and empty texts have no
@@ -237,8 +278,16 @@ def scan_secrets(
         )
         fitted = fit_forest(rows.join(given, ["doc_id", "candidate"]), F.col("given"), sample)
     scored = fitted.transform(rows).withColumn("probability", vector_to_array("chances")[1])
-    return scored.select(
-        "doc_id", "candidate", "start", "probability", (F.col("probability") >= cut).alias("is_secret")
+    return (
+        scored.groupBy("row", "candidate")
+        .agg(
+            F.first("doc_id").alias("doc_id"),
+            F.min("start").alias("start"),
+            F.max("probability").alias("probability"),
+        )
+        .select(
+            "doc_id", "candidate", "start", "probability", (F.col("probability") >= cut).alias("is_secret")
+        )
     )
 
 

