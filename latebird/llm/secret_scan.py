@@ -291,19 +291,49 @@ def scan_secrets(
     )
 
 
+def _without(secrets: Column, placeholder: str) -> Column:
+    """The text with each stretch that secrets cover, also overlapping ones, replaced once."""
+    text, nothing = F.col("text"), F.lit("")
+    # \\Q and \\E quote a secret in the pattern.
+    quoted = F.transform(
+        secrets, lambda s: F.concat(F.lit(r"\Q"), F.replace(s, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    )
+    pieces = F.split(text, F.concat(F.lit("(?="), F.array_join(quoted, "|"), F.lit(")")), -1)
+    longest = F.array_max(F.transform(secrets, F.length))
+
+    def step(done: Column, piece: Column) -> Column:
+        """`at`: the signs passed; `upto`: where the secrets begun so far end."""
+        at, upto = done["at"], done["upto"]
+        rest = F.substring(text, at + 1, longest)
+        here = F.array_max(
+            F.transform(secrets, lambda s: F.when(F.startswith(rest, s), F.length(s)).otherwise(0))
+        )
+        end = F.greatest(upto, at + here)
+        begun = F.when((end > upto) & (at >= upto), F.lit(placeholder)).otherwise(nothing)
+        left = F.substring(piece, F.greatest(end - at, F.lit(0)) + 1, F.length(piece))
+        return F.struct(
+            F.concat(done["out"], begun, left).alias("out"),
+            (at + F.length(piece)).alias("at"),
+            end.alias("upto"),
+        )
+
+    start = F.struct(nothing.alias("out"), F.lit(0).alias("at"), F.lit(0).alias("upto"))
+    return F.aggregate(pieces, start, step, lambda done: done["out"])
+
+
 def redact_secrets(docs: DataFrame, placeholder: str = PLACEHOLDER) -> DataFrame:
-    """`docs` with every secret in a text replaced; n_chars, where there is one,
+    """`docs` with every secret in a text replaced, in all its places; n_chars, where there is one,
     follows the text. All rows and columns stay; texts of rows with a null
     doc_id, to which no finding can be joined, are left as they are."""
     secrets = (
         scan_secrets(docs)
         .where("is_secret")
         .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_set("candidate")).alias("secrets"))
+        .agg(F.collect_set("candidate").alias("secrets"))
     )
     name, key = unused_name(docs, "secrets"), unused_name(docs, "secret_doc")
-    secrets = secrets.select(F.col("doc_id").alias(key), F.reverse("secrets").alias(name))
-    clean = F.aggregate(name, F.col("text"), lambda text, s: F.replace(text, s, F.lit(placeholder)))
+    secrets = secrets.select(F.col("doc_id").alias(key), F.col("secrets").alias(name))
+    clean = _without(F.col(name), placeholder)
     joined = docs.join(secrets, F.col("doc_id").cast("long") == F.col(key), "left")
     joined = joined.withColumn("text", F.when(F.col(name).isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:

@@ -226,6 +226,27 @@ def test_redaction(edge_docs, no_docs):
     assert secret_scan.redact_secrets(no_docs).count() == 0
 
 
+def test_secrets_within_and_across_secrets(spark):
+    frame = lambda *rows: spark.createDataFrame(rows, "text string, s array<string>")
+    given = {
+        ("x aa.zz12345 y", ("zz12345", "aa.zz12345")): "x [S] y",
+        ("password=ab12cd.tail9 y", ("password=ab12cd", "ab12cd.tail9")): "[S] y",
+        ("ab12ab12ab12 then ab12ab12", ("ab12ab12",)): "[S] then [S]",
+        ("S is [S] \\E (a|b)$ \\Q", ("S", r"\E (a|b)$")): "[S] is [[S]] [S] \\Q",
+        ("\U0001f600k1k1\U0001f600", ("k1",)): "\U0001f600[S][S]\U0001f600",
+        ("none", ("k1",)): "none",
+    }
+    rows = frame(*[(t, list(s)) for t, s in given]).select("text", secret_scan._without(F.col("s"), "[S]"))
+    assert [r[1] for r in rows.collect()] == list(given.values())
+
+
+def test_redaction_leaves_no_part(make_docs):
+    tail = lambda i: f"zz1{i:03d}5678901234567"
+    docs = make_docs(*[(i, f"password=aa.{tail(i)} and 4111111111111{i:03d}") for i in range(60)])
+    for r in secret_scan.redact_secrets(docs).collect():
+        assert "aa." not in r["text"] and "zz1" not in r["text"]
+
+
 def test_secret_plan_has_no_python(edge_docs):
     plan = secret_scan.redact_secrets(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
