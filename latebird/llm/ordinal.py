@@ -26,12 +26,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latebird.llm.common import ship_package, text_or_empty, unused_name
+from latebird.llm.common import ship_package, staged, text_or_empty, unused_name
 
 BUCKETS = 1 << 22
 #: Labelled documents in the fit; the fewest of them in which a feature stands, and
 #: the least likelihood-ratio statistic that ties it to the grade.
-SAMPLE = 8_000
+SAMPLE = 16_000
 LEAST_DOCUMENTS = 5
 LEAST_RATIO = 20.0
 #: The least difference in log odds of a feature's presence between neighbouring grades.
@@ -120,9 +120,14 @@ def likelihood_ratio(
 ) -> np.ndarray:
     """The G statistic of the presence of each of `n` features against the grade, 0
     where the odds of presence are alike in all grades; `of_grade`: documents of each."""
-    with_feature = np.stack([_counts(features[grades == g], n) for g in range(len(of_grade))]).astype(
-        float
+    return ratio_of_counts(
+        np.stack([_counts(features[grades == g], n) for g in range(len(of_grade))]), of_grade
     )
+
+
+def ratio_of_counts(with_feature: np.ndarray, of_grade: np.ndarray) -> np.ndarray:
+    """`likelihood_ratio` from the documents of each grade (rows) with each feature (columns)."""
+    with_feature = with_feature.astype(float)
     without = of_grade[:, None] - with_feature
     total = 0.0
     for observed in (with_feature, without):
@@ -232,7 +237,9 @@ def fit_quality(
 ) -> OrdinalModel:
     """Fit on the `sample` graded documents with the smallest hashes of doc_id.
 
-    What comes to the driver is their feature numbers: a few KB for each.
+    Features are counted by grade on the executors. What comes to the driver is
+    the counts of those that are not rare, then the documents' features that are
+    tied to the grade: the model is the same as from all features.
     """
     ship_package(docs.sparkSession)
     known = docs.where("doc_id IS NOT NULL").select(
@@ -250,19 +257,54 @@ def fit_quality(
             columns = [batch.column(0), batch.column(1), pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "grade", "features"])
 
-    rows = (
+    schema = "doc_id long, grade int, features binary"
+    featured = staged(
         known.join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
         .select("doc_id", "grade", "text")
-        .mapInArrow(featurize, "doc_id long, grade int, features binary")
-        .dropDuplicates(["doc_id"])
+        .mapInArrow(featurize, schema)
+        .dropDuplicates(["doc_id"]),
+        "quality-features",
+    )
+    ids = featured.select("doc_id", "grade").toArrow().sort_by("doc_id")
+    held = np.arange(len(ids)) % HELD_OUT == HELD_OUT - 1  # as in fit_ordinal
+    held_ids = set(ids.column("doc_id").to_numpy()[held].tolist())
+    names = [f"n{g}" for g in range(n_grades)]
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n_grades, BUCKETS), np.int32)
+        for batch in batches:
+            for doc_id, grade, found in zip(*(c.to_pylist() for c in batch.columns)):
+                if doc_id not in held_ids:
+                    total[grade, np.frombuffer(found, "<i4")] += 1  # a document's features differ
+        seen = np.flatnonzero(total.any(axis=0)).astype(np.int32)
+        for at in range(0, len(seen), 1 << 16):
+            part = seen[at : at + (1 << 16)]
+            columns = [pa.array(part), *(pa.array(total[g, part]) for g in range(n_grades))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", *names])
+
+    counted = (
+        featured.mapInArrow(count, ", ".join(f"{c} int" for c in ("bucket", *names)))
+        .groupBy("bucket")
+        .agg(*(F.sum(c).alias(c) for c in names))
+        .where(" + ".join(names) + f" >= {LEAST_DOCUMENTS}")
         .toArrow()
     )
-    rows = rows.sort_by("doc_id")
+    of_grade = np.bincount(ids.column("grade").to_numpy()[~held], minlength=n_grades)
+    ratio = ratio_of_counts(np.stack([counted.column(c).to_numpy() for c in names]), of_grade)
+    tied = np.sort(counted.column("bucket").to_numpy()[ratio >= LEAST_RATIO])
+
+    def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = (np.frombuffer(f, "<i4") for f in batch.column(2).to_pylist())
+            kept = pa.array([f[np.isin(f, tied)].tobytes() for f in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], kept], names=batch.schema.names)
+
+    rows = featured.mapInArrow(pick, schema).toArrow().sort_by("doc_id")
     packed = rows.column("features").combine_chunks()
     if isinstance(packed, pa.ChunkedArray):
         packed = packed.chunk(0) if packed.num_chunks else pa.array([], pa.binary())
     sizes = pc.binary_length(packed).to_numpy(zero_copy_only=False)
-    data = packed.buffers()[2] if len(packed) else b""
+    data = (packed.buffers()[2] if len(packed) else None) or b""
     return fit_ordinal(
         np.frombuffer(data, "<i4", int(sizes.sum()) // 4),
         sizes // 4,

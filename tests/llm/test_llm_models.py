@@ -85,6 +85,27 @@ def test_ordinal_on_held_out_documents(make_docs, spark):
     assert bad <= 0.03 * n_bad and clean >= 0.97 * (300 - n_bad)
 
 
+def test_fit_is_that_of_all_features(make_docs, spark, monkeypatch):
+    """16,000 documents are fitted; only features tied to the grade come to the driver."""
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"word{w}" for w in rng.integers(0, 300, 8))) for i in range(16_100)]
+    grades = [(i, int(rng.integers(0, 3))) for i in range(16_100)]
+    docs = [(i, f"{t} vile{i % 7}" if g == 1 and i % 40 < 7 else t) for (i, t), (_, g) in zip(docs, grades)]
+    given, fit = [], ordinal.fit_ordinal
+    monkeypatch.setattr(ordinal, "fit_ordinal", lambda *a: given.append(a) or fit(*a))
+    frame = spark.createDataFrame(grades, "doc_id long, grade int")
+    got = ordinal.fit_quality(make_docs(*docs), frame)
+    features, counts, chosen, _ = given[0]
+    assert len(chosen) == 16_000 and len(features) < 16_000
+    by_hash = frame.orderBy(F.xxhash64("doc_id"), "doc_id").limit(16_000).collect()
+    memory, texts = ordinal._Memory(), dict(docs)
+    rows = [sorted(ordinal.text_features(texts[r[0]], memory)) for r in sorted(by_hash)]
+    flat, sizes = np.concatenate(rows).astype(np.int32), np.array([len(r) for r in rows])
+    want = fit(flat, sizes, np.array([r[1] for r in sorted(by_hash)]), 3)
+    assert want.weights and got.weights == want.weights and got.cut == want.cut
+    assert (got.thresholds == want.thresholds).all()
+
+
 def test_thresholds_are_ordered():
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, 50, 8)).astype(np.int32) for _ in range(300)]
