@@ -98,7 +98,7 @@ def _places(pattern: str, ahead: bool = False) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, source, candidate, start, before, after): each distinct candidate
+    """(row, doc_id, source, text_hash, candidate, start, before, after): each distinct candidate
     of a text with each distinct surrounding it is found in; the first place where
     it stands (from 1), and the signs around the place found. `row` is the same for
     the candidates of one row; it holds once they are written."""
@@ -122,6 +122,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             F.monotonically_increasing_id().alias("row"),
             F.col("doc_id").cast("long").alias("doc_id"),
             F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+            F.xxhash64(text_or_empty()).alias("text_hash"),
             text_or_empty().alias("text"),
         )
         .select("*", F.explode(F.array_distinct(window)).alias("place"))
@@ -130,6 +131,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             "row",
             "doc_id",
             "source",
+            "text_hash",
             F.expr("substring(around, b + 1, n)").alias("candidate"),
             F.expr("locate(substring(around, b + 1, n), text)").alias("start"),
             F.expr("substring(around, 1, b)").alias("before"),
@@ -268,6 +270,13 @@ def scan_secrets(
     Repeated rows repeat their findings. Other columns are not looked at. An
     empty table gives no rows.
     """
+    return _scanned(docs, findings, sample, cut).drop("text_hash")
+
+
+def _scanned(
+    docs: DataFrame, findings: DataFrame | None = None, sample: int = SAMPLE, cut: float = 0.5
+) -> DataFrame:
+    """`scan_secrets` with the hash of the text."""
     found = staged(candidates(docs), "candidates")
     rows = staged(featured(docs, found), "candidates")
     if findings is None:
@@ -282,11 +291,17 @@ def scan_secrets(
         scored.groupBy("row", "candidate")
         .agg(
             F.first("doc_id").alias("doc_id"),
+            F.first("text_hash").alias("text_hash"),
             F.min("start").alias("start"),
             F.max("probability").alias("probability"),
         )
         .select(
-            "doc_id", "candidate", "start", "probability", (F.col("probability") >= cut).alias("is_secret")
+            "doc_id",
+            "text_hash",
+            "candidate",
+            "start",
+            "probability",
+            (F.col("probability") >= cut).alias("is_secret"),
         )
     )
 
@@ -323,18 +338,21 @@ def _without(secrets: Column, placeholder: str) -> Column:
 
 def redact_secrets(docs: DataFrame, placeholder: str = PLACEHOLDER) -> DataFrame:
     """`docs` with every secret in a text replaced, in all its places; n_chars, where there is one,
-    follows the text. All rows and columns stay; texts of rows with a null
-    doc_id, to which no finding can be joined, are left as they are."""
+    follows the text. All rows and columns stay. Secrets belong to a doc_id, also
+    null, and a text: rows that share both share their secrets."""
     secrets = (
-        scan_secrets(docs)
+        _scanned(docs)
         .where("is_secret")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("candidate").alias("secrets"))
     )
-    name, key = unused_name(docs, "secrets"), unused_name(docs, "secret_doc")
-    secrets = secrets.select(F.col("doc_id").alias(key), F.col("secrets").alias(name))
+    name, key, text_key = (unused_name(docs, n) for n in ("secrets", "secret_doc", "secret_text"))
+    secrets = secrets.select(
+        F.col("doc_id").alias(key), F.col("text_hash").alias(text_key), F.col("secrets").alias(name)
+    )
     clean = _without(F.col(name), placeholder)
-    joined = docs.join(secrets, F.col("doc_id").cast("long") == F.col(key), "left")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key))
+    joined = docs.join(secrets, same & (F.xxhash64(text_or_empty()) == F.col(text_key)), "left")
     joined = joined.withColumn("text", F.when(F.col(name).isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
         changed = F.when(F.col(name).isNull(), F.col("n_chars")).otherwise(F.length("text"))

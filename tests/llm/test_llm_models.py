@@ -268,6 +268,15 @@ def test_redaction_leaves_no_part(make_docs):
         assert "aa." not in r["text"] and "zz1" not in r["text"]
 
 
+def test_rows_without_doc_id_are_redacted(make_docs):
+    docs = [(None if i % 3 else 1, f'token = "{i:02x}{HEX[2:]}", 4111111111111{i:03d}') for i in range(60)]
+    plain = (None, "nothing of the kind")
+    out = secret_scan.redact_secrets(make_docs(*docs, docs[1], plain, (None, None))).collect()
+    assert len(out) == 63 and not any(HEX[2:] in (r["text"] or "") for r in out)
+    assert sum(secret_scan.PLACEHOLDER in (r["text"] or "") for r in out) == 61
+    assert {plain[1], None} <= {r["text"] for r in out}
+
+
 def test_secret_plan_has_no_python(edge_docs):
     plan = secret_scan.redact_secrets(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
