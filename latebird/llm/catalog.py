@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latebird.llm import mixing
@@ -142,3 +142,50 @@ def op3_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from latebird.llm.pii_crf import find_personal_data
 
     return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def _replaced_words(docs: DataFrame) -> DataFrame:
+    """`docs` in which every tenth doc_id by checksum has a tail of repeated words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic(words: Column) -> Column:
+        n = F.size(words)
+        first = (g % n).cast("int")
+        period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+        return F.transform(
+            words,
+            lambda w, i: F.when(i < first, w).otherwise(F.get(words, first + (i - first) % period)),
+        )
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # An array of one holds the words while the rule reads them, so that they are made once.
+    joined = F.transform(F.array(words), lambda w: F.array_join(periodic(w), " "))[0]
+    planted = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select("doc_id", F.when(planted, joined).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_block_convolution_runs")
+def op13_block_convolution_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.periods import find_periodic_runs
+
+    found = find_periodic_runs(_replaced_words(table(spark, sf_dir, "documents")))
+    # Of the runs by start, then period, the first that no other exceeds in length / period.
+    best = F.aggregate(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda a, b: F.when(b.length * a.period > a.length * b.period, b).otherwise(a),
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
