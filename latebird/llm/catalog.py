@@ -189,3 +189,21 @@ def op13_block_convolution_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op11_rare_token_licenses")
+def op11_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.license_scan import scan_licenses
+
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.array_distinct("base.label")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").cast("long").alias("first_word"),
+        F.array_max("base.word").cast("long").alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, "found.label")), ",").alias("labels"),
+        F.coalesce(F.array_max("found.score"), F.lit(0.0)).alias("score"),
+    )
