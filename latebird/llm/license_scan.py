@@ -35,6 +35,8 @@ from latebird.llm.common import text_or_empty
 
 #: What parts words, after A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Places of base phrases.
+PLACES = "array<struct<word:int,label:string>>"
 RARE = 8
 SLACK = 16
 LEAST = 0.6
@@ -197,7 +199,7 @@ def _index(templates: Sequence[Template], weights: Mapping[str, float]) -> Colum
 def _phrase_places(words: Column, present: Column, phrase: str, label: str) -> Column:
     """(word, label) of each place where the phrase's words stand consecutively."""
     parts = phrase.split()
-    none = F.array().cast("array<struct<word:int,label:string>>")
+    none = F.array().cast(PLACES)
 
     def stands(i: Column) -> Column:
         here = F.lit(True)
@@ -322,7 +324,8 @@ def scan_licenses(
 
     def scan(words: Column) -> Column:
         def with_present(present: Column) -> Column:
-            places = F.concat(*[_phrase_places(words, present, p, label) for p, label in base.items()])
+            none_placed = F.array().cast(PLACES)
+            places = [_phrase_places(words, present, p, label) for p, label in base.items()]
             none = F.filter(index, lambda t: F.lit(False))
             hinted = F.filter(index, lambda t: F.size(F.array_except(t.phrase_words, present)) == 0)
             # Most texts have no template's rarest key word.
@@ -334,7 +337,7 @@ def scan_licenses(
 
             return F.struct(
                 F.size(words).cast("long").alias("n_words"),
-                F.array_sort(places).alias("base"),
+                F.array_sort(F.concat(none_placed, *places)).alias("base"),
                 F.flatten(F.transform(possible, found)).alias("found"),
             )
 
