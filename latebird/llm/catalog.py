@@ -144,6 +144,14 @@ def op3_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query("op12_diagonal_alignment")
+def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from latebird.llm.alignment import align_tokenizers
+
+    aligned = align_tokenizers(table(spark, sf_dir, "documents"), written="sha256")
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 def _replaced_words(docs: DataFrame) -> DataFrame:
     """`docs` in which every tenth doc_id by checksum has a tail of repeated words."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))

@@ -1,13 +1,14 @@
 """Token ids from a public tokenizer, with the ids of recurring words remembered.
 
-Under either vocabulary in use a word, with the white space in front of it, is
+Under the vocabularies in use a word, with the white space in front of it, is
 encoded the same wherever it stands. A column of texts is cut where a plain
 letter or sign is followed by a blank or a newline, which is such a place under
-either tokenizer's rules; Arrow finds the distinct pieces, each of which is
-given to the tokenizer once, and numpy gathers the ids. Many pieces go to the
-tokenizer in one string, parted by a special token, which the tokenizer cuts out
-before it looks at anything else. `tests/llm/test_tokens.py` compares with the
-tokenizer on whole texts.
+the rules of the `tokenizers` files; Arrow finds the distinct pieces, each of
+which is given to the tokenizer once, and numpy gathers the ids. Many pieces go
+to the tokenizer in one string, parted by a special token, which the tokenizer
+cuts out before it looks at anything else. A `sentencepiece` model is cut before
+blanks, which none of its pieces has behind another sign.
+`tests/llm/test_tokens.py` compares with the tokenizers on whole texts.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes of text handled at once, at least one piece; texts are cut on the way.
 STRETCH = 6 << 20
-#: Pieces remembered before the memory starts anew.
+#: Pieces remembered, and their bytes, before the memory starts anew.
 REMEMBERED = 1_200_000
+REMEMBERED_BYTES = 64 << 20
+#: How a `sentencepiece` model writes a blank.
+BLANK = "\u2581"
 #: Pieces handed to the tokenizer in one string.
 TOGETHER = 200
 #: Such strings encoded at a time.
@@ -46,35 +50,28 @@ def _places(data: np.ndarray) -> np.ndarray:
     return at[ascii_sign | latin]
 
 
-class WordTokenizer:
-    """Encodes columns of texts; keeps the ids of the pieces it has met.
+class PieceMemory:
+    """Encodes columns of texts; keeps the ids of the pieces it has met."""
 
-    `name`: one of the installed public tokenizers, or the path of a tokenizer
-    file, on every worker, whose rules part words before white space.
-    """
-
-    def __init__(self, name: str, remembered: int = REMEMBERED, stretch: int = STRETCH):
-        from tokenizers import Tokenizer
-
-        file = name if os.path.isabs(name) else public_tokenizers.path(name)
-        self.plain, self.parted = (Tokenizer.from_file(file) for _ in range(2))
-        for tokenizer in (self.plain, self.parted):
-            tokenizer.no_padding()
-            tokenizer.no_truncation()
-        # Special tokens' strings are ordinary text in a text, and cut out between pieces.
-        self.plain.encode_special_tokens = True
-        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
-        self.mark = self.special[-1]
-        self.mark_id = self.plain.token_to_id(self.mark)
+    def __init__(self, remembered: int = REMEMBERED, stretch: int = STRETCH):
         self.remembered, self.stretch = remembered, stretch
         self._forget()
 
+    @staticmethod
+    def places(data: np.ndarray) -> np.ndarray:
+        """Where in the bytes of texts a piece may begin."""
+        raise NotImplementedError
+
+    def _encode_fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and how many each has."""
+        raise NotImplementedError
+
     def _forget(self) -> None:
         self._known = pa.array([], pa.large_string())  # their places are those of the next two
         self._starts = np.zeros(1 << 12, np.int64)
         self._lengths = np.zeros(1 << 12, np.int64)
         self._ids = np.zeros(1 << 14, "<u4")
-        self._used = 0
+        self._used = self._bytes = 0
 
     def rows(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each of `texts`, encoded in groups of about `stretch` bytes."""
@@ -100,7 +97,7 @@ class WordTokenizer:
         data = np.frombuffer(data_buffer, np.uint8)[base:end]
         offsets = offsets - base
         begins = np.zeros(len(data), bool)
-        begins[_places(data)] = True
+        begins[self.places(data)] = True
         begins[offsets[offsets < len(data)]] = True
         starts = np.flatnonzero(begins)
         first_piece = np.searchsorted(starts, offsets)
@@ -132,7 +129,7 @@ class WordTokenizer:
 
     def _numbers(self, pieces: pa.LargeStringArray) -> np.ndarray:
         """The place of each of the distinct `pieces` among the known ones."""
-        if len(self._known) > self.remembered:
+        if len(self._known) > self.remembered or self._bytes > REMEMBERED_BYTES:
             self._forget()
         number = pc.index_in(pieces, value_set=self._known).fill_null(-1).to_numpy().astype(np.int64)
         missing = np.flatnonzero(number < 0)
@@ -148,11 +145,45 @@ class WordTokenizer:
             self._lengths[n:to] = lengths
             self._ids[self._used : self._used + len(ids)] = ids
             self._used += len(ids)
+            self._bytes += pc.sum(pc.binary_length(fresh)).as_py()
             number[missing] = np.arange(n, to)
         return number
 
+
+class WordTokenizer(PieceMemory):
+    """A tokenizer file of the `tokenizers` library.
+
+    `name`: one of the installed public tokenizers, or the path of a tokenizer
+    file, on every worker, whose rules part words before white space. Strings of
+    special tokens in a text become their ids, as in a plain call of the
+    tokenizer, or with `special_text` are ordinary text.
+    """
+
+    places = staticmethod(_places)
+
+    def __init__(
+        self,
+        name: str,
+        remembered: int = REMEMBERED,
+        stretch: int = STRETCH,
+        special_text: bool = False,
+    ):
+        from tokenizers import Tokenizer
+
+        file = name if os.path.isabs(name) else public_tokenizers.path(name)
+        self.plain, self.parted = (Tokenizer.from_file(file) for _ in range(2))
+        for tokenizer in (self.plain, self.parted):
+            tokenizer.no_padding()
+            tokenizer.no_truncation()
+        self.plain.encode_special_tokens = special_text
+        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
+        self.mark = self.special[-1]
+        self.mark_id = self.plain.token_to_id(self.mark)
+        super().__init__(remembered, stretch)
+
     def _encode_fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if any("<|" in piece for piece in pieces):  # may hold a special token's string
+        together = "".join(pieces)
+        if any(mark in together for mark in self.special):
             encoded = self.plain.encode_batch_fast(pieces, add_special_tokens=False)
             lengths = np.fromiter((len(e.ids) for e in encoded), np.int64, len(pieces))
             return np.fromiter(chain.from_iterable(e.ids for e in encoded), "<u4"), lengths
@@ -170,6 +201,37 @@ class WordTokenizer:
         return np.delete(ids, ends), lengths
 
 
+class SentencePieces(PieceMemory):
+    """A `sentencepiece` model without normalisation, for texts with a blank in
+    front, which stands for the blank that the model would put there. Texts hold
+    no `BLANK` of their own."""
+
+    def __init__(self, name: str, remembered: int = REMEMBERED, stretch: int = STRETCH):
+        from sentencepiece import SentencePieceProcessor
+
+        file = name if os.path.isabs(name) else public_tokenizers.path(name)
+        self.model = SentencePieceProcessor(model_file=file)
+        if any(BLANK in piece.lstrip(BLANK) for piece in self.all_pieces()):
+            raise ValueError(f"{name}: a piece has a blank behind another sign")
+        self.blank = self.model.piece_to_id(BLANK)
+        super().__init__(remembered, stretch)
+
+    def all_pieces(self) -> list[str]:
+        return [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
+
+    @staticmethod
+    def places(data: np.ndarray) -> np.ndarray:
+        blank = data == 0x20
+        return np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
+
+    def _encode_fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # The model puts a blank in front itself, but not where nothing follows.
+        encoded = self.model.encode([p[1:] for p in pieces], out_type=int, num_threads=1)
+        ids = [own or [self.blank] for own in encoded]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), "<u4", int(lengths.sum())), lengths
+
+
 def _room(values: np.ndarray, size: int) -> np.ndarray:
     if size <= len(values):
         return values

@@ -21,16 +21,14 @@ from latebird.llm.tokenfiles import (
     unpack_bits,
     write_token_files,
 )
-from latebird.llm.tokenizing import WordTokenizer
+from latebird.llm.tokenizing import SentencePieces, WordTokenizer
 
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 SIGNS = [*" \n\t ab'sTéÉß12.,#<|>Σς́–ſ　\x85\x1c", "<|endoftext|>", "<|startoftext|>", " the", "'s", "\n\n"]
 
 
 def plain(name):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def whole(name, texts, end):
@@ -39,8 +37,11 @@ def whole(name, texts, end):
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_pieces_give_the_ids_of_whole_texts(name):
-    ours, theirs = WordTokenizer(name, remembered=50, stretch=40), plain(name)
+@pytest.mark.parametrize("special_text", [False, True])
+def test_pieces_give_the_ids_of_whole_texts(name, special_text):
+    ours, theirs = WordTokenizer(name, remembered=50, stretch=40, special_text=special_text), plain(name)
+    if special_text:
+        theirs.encode_special_tokens = True
 
     @settings(max_examples=200, deadline=None)
     @given(st.lists(st.lists(st.sampled_from(SIGNS), max_size=30).map("".join), max_size=5))
@@ -52,6 +53,20 @@ def test_pieces_give_the_ids_of_whole_texts(name):
     check()
 
 
+def test_sentence_pieces_give_the_ids_of_whole_texts():
+    name = "piece_bpe_32k.model"
+    ours = SentencePieces(name, remembered=50, stretch=40)
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from(SIGNS + ["<s>", "  ", "\0"]), max_size=30).map("".join), max_size=5))
+    def check(texts):
+        got = list(ours.rows(pa.array([" " + t for t in texts], pa.string())))
+        for ids, text in zip(got, texts, strict=True):
+            assert ids.tolist() == (ours.model.encode(text) or [ours.blank])
+
+    check()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(1, 32), st.data())
 def test_bits_round_trip(width, data):
