@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.feature import (
@@ -46,11 +46,13 @@ class MedianFill(Estimator):
         self.columns = list(columns)
 
     def _fit(self, dataset: DataFrame) -> Transformer:
-        values = {c: median(dataset, c).first()["median"] or 0 for c in self.columns}
-        filled = ", ".join(f"coalesce({c}, {v}) AS {c}" for c, v in values.items())
-        return SQLTransformer(
-            statement=f"SELECT * EXCEPT ({', '.join(values)}), {filled} FROM __THIS__"
-        )
+        return fill_stage({c: median(dataset, c).first()["median"] or 0 for c in self.columns})
+
+
+def fill_stage(values: Mapping[str, int]) -> SQLTransformer:
+    """A stage that fills the nulls of each column with its value."""
+    filled = ", ".join(f"coalesce({c}, {v}) AS {c}" for c, v in values.items())
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(values)}), {filled} FROM __THIS__")
 
 
 def impute(columns: Sequence[str], suffix: str = "_filled", relative_error: float = 0.001) -> Imputer:
@@ -93,9 +95,13 @@ class FrequencyIndexer(Estimator):
         )
         # Within the bound of each column all rows come; one more shows that a bound is passed.
         rows = counted.limit(self.most * len(self.columns) + 1).collect()
+        return self.model([(r["place"], r["value"], r["count"]) for r in rows])
+
+    def model(self, counted: Iterable[tuple[int, str, int]]) -> Transformer:
+        """The fitted stage from (place of the column, value, count)."""
         labels: list[list[str]] = [[] for _ in self.columns]
-        for r in sorted(rows, key=lambda r: (-r["count"], r["value"])):
-            labels[r["place"]].append(r["value"])
+        for place, value, _ in sorted(counted, key=lambda r: (-r[2], r[1])):
+            labels[place].append(value)
         for name, own in zip(self.columns, labels):
             if len(own) > self.most:
                 raise ValueError(f"{name} has {len(own)} different values or more, bound {self.most}")

@@ -17,6 +17,14 @@ def approx_median(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.percentile_approx(column, F.lit(0.5)).alias("median"))
 
 
+def integer_bits(df: DataFrame, column: str) -> int:
+    """How many bits the exact median ranks; types that aren't integers raise."""
+    kind = type(df.schema[column].dataType)
+    if kind not in _WIDTHS:
+        raise TypeError(f"no exact median of {column} ({kind.__name__}): use approx_median")
+    return _WIDTHS[kind]
+
+
 def median(df: DataFrame, column: str) -> DataFrame:
     """One row, one column: the smallest value that half of the non-null rows
     do not exceed; null if there are none. Exact, for integers of any width;
@@ -27,35 +35,37 @@ def median(df: DataFrame, column: str) -> DataFrame:
     task sees at most 65,536 rows however many different values there are. All
     steps reuse one shuffle.
     """
-    kind = type(df.schema[column].dataType)
-    if kind not in _WIDTHS:
-        raise TypeError(f"no exact median of {column} ({kind.__name__}): use approx_median")
-    width = _WIDTHS[kind]
+    width = integer_bits(df, column)
     counted = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("bigint").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # One row: the leading bits of the median, and how many rows in to look for it.
-    home = counted.agg(F.ceil(F.sum("n") / 2).alias("target")).select(
-        F.lit(None).cast("bigint").alias("lead"), "target"
+    found = medians_of_counts(counted.withColumn("of", F.lit(0)), width)
+    return found.agg(F.min("median").cast(df.schema[column].dataType).alias("median"))
+
+
+def medians_of_counts(counted: DataFrame, width: int = 64) -> DataFrame:
+    """(of, median) for rows (of, v, n): how often each value `v`, a bigint of
+    `width` bits, occurs in each of a few sets `of`. A set without rows has none."""
+    # One row for each set: the leading bits of its median, and how many rows in to look for it.
+    home = counted.groupBy("of").agg(F.ceil(F.sum("n") / 2).alias("target")).withColumn(
+        "lead", F.lit(None).cast("bigint")
     )
     for shift in range(width - _DIGIT_BITS, -1, -_DIGIT_BITS):
         above = shift + _DIGIT_BITS
-        block = F.shiftright("v", shift)
-        inside = counted.join(
-            F.broadcast(home),
-            F.lit(True) if above == width else F.shiftright("v", above) == F.col("lead"),
-        )
-        blocks = inside.groupBy(block.alias("block"), "target").agg(F.sum("n").alias("n"))
-        running = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+        inside = counted.join(F.broadcast(home), "of")
+        if above < width:
+            inside = inside.where(F.shiftright("v", above) == F.col("lead"))
+        blocks = inside.groupBy("of", F.shiftright("v", shift).alias("block"), "target").agg(F.sum("n").alias("n"))
+        running = Window.partitionBy("of").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
         upto = F.sum("n").over(running)
         home = (
-            blocks.select("block", "target", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+            blocks.select("of", "block", "target", (upto - F.col("n")).alias("before"), upto.alias("upto"))
             .where((F.col("before") < F.col("target")) & (F.col("upto") >= F.col("target")))
-            .select(F.col("block").alias("lead"), (F.col("target") - F.col("before")).alias("target"))
+            .select("of", F.col("block").alias("lead"), (F.col("target") - F.col("before")).alias("target"))
         )
-    return home.agg(F.min("lead").cast(df.schema[column].dataType).alias("median"))
+    return home.select("of", F.col("lead").alias("median"))
 
 
 def fill_with_batch_median(df: DataFrame, column: str, null_as_zero: bool = True) -> DataFrame:

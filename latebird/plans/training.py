@@ -11,7 +11,6 @@ from typing import Any
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.param import Param
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -27,12 +26,13 @@ from latebird.functions.bucket import fold
 from latebird.operators.encoding import FEATURES
 from latebird.operators.leaderboard import best_model, with_score
 from latebird.operators.metrics import compare_predictions
+from latebird.plans.fold_statistics import FOLD, FoldStatistics, fold_statistics
+from latebird.plans.nested import ParamPoint, SharedFit, shared_fits, with_predictions
 from latebird.plans.recipes import DETAILED, Recipe
 from latebird.schema import LABEL, PREDICTION
 from latebird.session import drop_staged, shared_dir, stage_table
 
 DEFAULT_SEED = 89
-FOLD = "fold"
 
 
 def decision_tree(seed: int = DEFAULT_SEED, **params: Any) -> DecisionTreeRegressor:
@@ -72,9 +72,6 @@ GRIDS: dict[str, dict[str, dict[str, list[int]]]] = {
     },
 }
 
-ParamPoint = dict[Param, Any]
-
-
 def param_grid(estimator: Estimator, values: Mapping[str, Sequence[Any]]) -> list[ParamPoint]:
     """Every combination of the given parameter values."""
     builder = ParamGridBuilder()
@@ -145,6 +142,14 @@ def with_fold(df: DataFrame, folds: int, seed: int = DEFAULT_SEED) -> DataFrame:
     return df.withColumn(FOLD, F.expr(fold(seed + 1, folds, sorted(df.columns))))
 
 
+def stage_folds(
+    flights: DataFrame, recipe: Recipe, folds: int, seed: int = DEFAULT_SEED
+) -> tuple[DataFrame, str]:
+    """A recipe's model rows in the shared folder, parted by fold number, and their
+    path: a filter on the fold skips the other folds' files."""
+    return stage_table(with_fold(model_rows(flights, recipe), folds, seed), "folds", [FOLD])
+
+
 def _in_threads(
     spark: SparkSession, work: Callable[[Any], Any], items: Sequence[Any], threads: int
 ) -> list[Any]:
@@ -171,10 +176,34 @@ def _measure(models: Mapping[str, Model], encoded: DataFrame) -> DataFrame:
     columns = {name: f"prediction_{i}" for i, name in enumerate(models)}
     scored = encoded
     for name, model in models.items():
-        scored = model.copy({model.predictionCol: columns[name]}).transform(scored)
+        scored = with_predictions(scored, model, {columns[name]: None})
     return compare_predictions(scored, columns)
 
 
+def _all_fits(tried: Sequence[Candidate], nested: bool) -> list[tuple[Candidate, SharedFit]]:
+    """The fits that serve all candidates' points, which are numbered throughout."""
+    fits, first = [], 0
+    for candidate in tried:
+        found = (
+            shared_fits(candidate.estimator, candidate.grid)
+            if nested
+            else [SharedFit(point, {i: None}) for i, point in enumerate(candidate.grid)]
+        )
+        for fit in found:
+            fits.append((candidate, SharedFit(fit.point, {first + i: part for i, part in fit.serves.items()})))
+        first += len(candidate.grid)
+    return fits
+
+
+def _measure_points(models: Sequence[Model], fits: Sequence[SharedFit], encoded: DataFrame) -> DataFrame:
+    """Metrics of all grid points that the fits serve, in their order, in one pass."""
+    scored = encoded
+    for model, fit in zip(models, fits):
+        scored = with_predictions(scored, model, {f"prediction_{i}": part for i, part in fit.serves.items()})
+    numbers = sorted(i for fit in fits for i in fit.serves)
+    return compare_predictions(scored, {str(i): f"prediction_{i}" for i in numbers}).orderBy("order_no")
+
+
 @dataclass(frozen=True)
 class GridResult:
     """A grid point's mean over the folds."""
@@ -224,14 +253,21 @@ def cross_validate(
     parallel_folds: int = 1,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
     prefitted: PipelineModel | None = None,
+    statistics: FoldStatistics | None = None,
+    nested: bool = True,
 ) -> list[GridResult]:
     """k-fold cross-validation of several regressors at once.
 
-    `rows` comes from `model_rows` and carries a fold number. In each fold the
-    encoder is fitted once, on that fold's training rows only, and shared by
-    all regressors and grid points; all of them are then measured in one pass
-    over the held-out rows. Whole-pipeline cross-validation gives the same
-    metrics but fits the encoder once per regressor and grid point.
+    `rows` comes from `model_rows` and carries a fold number. What the encoders
+    learn comes from `statistics`, collected in one pass for all folds (here, if
+    not given), so that each fold's encoder has seen that fold's training rows
+    only, without a pass of its own. It is shared by all regressors and grid
+    points; all of them are then measured in one pass over the held-out rows.
+    Whole-pipeline cross-validation gives the same metrics but fits the encoder
+    once per regressor, grid point and fold.
+
+    Points that one fit serves (`plans/nested.py`) are fitted once; `nested=False`
+    fits each by itself.
 
     With `prefitted`, an encoder fitted beforehand is used in every fold and only
     the regressors are fitted: cheaper, but held-out rows have then had a part in
@@ -244,14 +280,16 @@ def cross_validate(
     encoded rows then go to the shared folder.
     """
     jobs = [(candidate, point) for candidate in tried for point in candidate.grid]
+    fits = _all_fits(tried, nested)
+    if prefitted is None and statistics is None:
+        statistics = fold_statistics(rows, recipe, folds)
 
     def one_fold(number: int) -> list[tuple[float, float]]:
-        kept = rows.where(F.col(FOLD) != number)
-        encoder = prefitted or fit_encoder(kept, recipe)
-        with _kept(_encode(encoder, kept), storage) as encoded:
-            models = _fit_all(encoded, jobs, parallelism)
+        encoder = prefitted or statistics.encoder(number)
+        with _kept(_encode(encoder, rows.where(F.col(FOLD) != number)), storage) as encoded:
+            models = _fit_all(encoded, [(c, f.point) for c, f in fits], parallelism)
         held_out = _encode(encoder, rows.where(F.col(FOLD) == number))
-        measured = _measure({str(i): m for i, m in enumerate(models)}, held_out)
+        measured = _measure_points(models, [f for _, f in fits], held_out)
         return [(r["rmse"], r["mae"]) for r in measured.collect()]
 
     measured = _in_threads(rows.sparkSession, one_fold, range(folds), parallel_folds)
@@ -341,14 +379,16 @@ def compare_models(
     training rows, measure it on the test rows and apply the score rule.
 
     The row stages run once; the folds, the refit and the passes inside each
-    fit read their narrow result from the shared folder. Encoders are fitted
-    folds + 1 times in all, whatever the number of candidates.
+    fit read their narrow result from the shared folder, where it is parted by
+    fold, so that a fold reads its own files only. All folds' encoders and the
+    last one come from one pass over it, whatever the number of candidates.
     """
     spark = train.sparkSession
     shared_dir(spark)
     tried = candidates(seed=seed) if tried is None else tried
-    rows, path = stage_table(with_fold(model_rows(train, recipe), folds, seed), "train")
+    rows, path = stage_folds(train, recipe, folds, seed)
     try:
+        statistics = fold_statistics(rows, recipe, folds)
         results = cross_validate(
             rows,
             recipe,
@@ -357,9 +397,10 @@ def compare_models(
             parallelism=parallelism,
             parallel_folds=parallel_folds,
             storage=storage,
+            statistics=statistics,
         )
         chosen = best_points(results)
-        encoder = fit_encoder(rows, recipe)
+        encoder = statistics.encoder()
         with _kept(_encode(encoder, rows), storage) as encoded:
             fitted = _fit_all(encoded, [(c.candidate, c.point) for c in chosen], parallelism)
     finally:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,12 +68,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/latebird/{name}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stage_table(df: DataFrame, name: str, by: Sequence[str] = ()) -> tuple[DataFrame, str]:
     """Write `df` to the shared folder and read it back: the lineage starts at
-    the written files, so a lost executor costs a re-read and nothing else."""
+    the written files, so a lost executor costs a re-read and nothing else.
+    `by`: columns of few values whose filters then skip files; they come last."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -1,0 +1,143 @@
+"""Statistics by fold and shared fits, against encoders and regressors fitted one by one."""
+
+import pytest
+from pyspark.ml.feature import SQLTransformer, StandardScalerModel, StringIndexerModel
+from pyspark.sql import functions as F
+
+from latebird.operators import cleaning
+from latebird.plans import training
+from latebird.plans.fold_statistics import FOLD, Moments, fold_statistics
+from latebird.plans.nested import shared_fits, with_predictions
+from latebird.plans.recipes import COMPACT, DETAILED, SELECTED
+from latebird.schema import LABEL
+from latebird.session import drop_staged
+
+
+@pytest.fixture(scope="module")
+def staged_folds(spark, flights):
+    made = {}
+
+    def stage(name, recipe):
+        if name not in made:
+            train = cleaning.hash_split(flights)[0]
+            if recipe.invalid_numerics == "error":
+                train = train.dropna(subset=["TaxiOut", "DepDelay", "CRSElapsedTime"])
+            made[name] = training.stage_folds(train, recipe, 3)
+        return made[name][0]
+
+    yield stage
+    for _, path in made.values():
+        drop_staged(spark, path)
+
+
+def _flat(model):
+    return [s for stage in model.stages for s in (_flat(stage) if hasattr(stage, "stages") else [stage])]
+
+
+@pytest.mark.parametrize("name,recipe", [("detailed", DETAILED), ("compact", COMPACT), ("selected", SELECTED)])
+def test_encoders_equal_those_fitted_on_the_rows(staged_folds, name, recipe):
+    rows = staged_folds(name, recipe)
+    statistics = fold_statistics(rows, recipe, 3)
+    for left_out in (0, 2, None):
+        kept = rows if left_out is None else rows.where(F.col(FOLD) != left_out)
+        ours = _flat(statistics.encoder(left_out))
+        theirs = _flat(training.fit_encoder(kept, recipe))
+        assert [type(s) for s in ours] == [type(s) for s in theirs]
+        for a, b in zip(ours, theirs):
+            if isinstance(a, StringIndexerModel):
+                assert a.labelsArray == b.labelsArray
+            elif isinstance(a, SQLTransformer):
+                assert a.getStatement() == b.getStatement()
+            elif isinstance(a, StandardScalerModel):
+                assert a.mean.toArray() == pytest.approx(b.mean.toArray(), rel=1e-9, abs=1e-9)
+                assert a.std.toArray() == pytest.approx(b.std.toArray(), rel=1e-9, abs=1e-9)
+            elif hasattr(a, "getIndices"):
+                assert a.getIndices() == b.getIndices()
+
+
+def test_statistics_take_one_pass_whatever_the_folds(spark, staged_folds):
+    rows = staged_folds("detailed", DETAILED)
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs_of_one(folds):
+        spark.sparkContext.setJobGroup(f"statistics-{folds}", "")
+        again = training.with_fold(rows.drop(FOLD), folds)
+        fold_statistics(again, DETAILED, folds)
+        return len(tracker.getJobIdsForGroup(f"statistics-{folds}"))
+
+    assert jobs_of_one(2) == jobs_of_one(7)
+
+
+def test_moments_of_parts():
+    parts = [[1.0, 2.0, 4.0], [], [1e9], [1e9 + 1, 1e9 + 2]]
+
+    def moments(xs):
+        mean = sum(xs) / len(xs) if xs else 0.0
+        return Moments(len(xs), mean, sum((x - mean) ** 2 for x in xs))
+
+    total = sum(map(moments, parts), Moments())
+    whole = moments([x for p in parts for x in p])
+    assert (total.n, total.mean, total.squares) == pytest.approx((whole.n, whole.mean, whole.squares))
+    assert Moments(1, 5.0).deviation == 0.0
+
+
+def test_a_column_of_nulls(spark, staged_folds):
+    rows = staged_folds("compact", COMPACT).withColumn("TaxiOut", F.lit(None).cast("int"))
+    encoder = fold_statistics(rows, COMPACT, 3).encoder(1)
+    assert "coalesce(TaxiOut, 0)" in encoder.stages[0].getStatement()
+    assert encoder.transform(rows).count() == rows.dropna(subset=[c for c in COMPACT.numerics if c != "TaxiOut"]).count()
+
+
+def test_a_fold_reads_its_own_files(staged_folds):
+    plan = staged_folds("detailed", DETAILED).where(F.col(FOLD) == 1)._jdf.queryExecution().toString()
+    filters = next(line for line in plan.split("PartitionFilters:")[1:])
+    assert "fold" in filters.split("]")[0]
+
+
+def test_which_points_share_a_fit():
+    def served(name, **grid):
+        estimator = training.REGRESSORS[name]()
+        points = training.param_grid(estimator, grid)
+        return [dict(f.serves) for f in shared_fits(estimator, points)]
+
+    assert served("Decision Tree", maxDepth=[5, 10], maxBins=[32, 48]) == [{0: 5, 2: None}, {1: 5, 3: None}]
+    assert served("GBT", maxIter=[10, 20], maxDepth=[3, 5]) == [{0: 10, 2: None}, {1: 10, 3: None}]
+    assert len(served("Random Forest", numTrees=[20, 50], maxDepth=[5, 10])) == 4
+    assert len(served("GBT", maxIter=[10, 20], subsamplingRate=[0.5])) == 2
+    assert served("Decision Tree", maxBins=[32, 48]) == [{0: None}, {1: None}]
+    full = training.candidates("full")
+    assert sum(len(shared_fits(c.estimator, c.grid)) for c in full) == 8
+
+
+@pytest.mark.parametrize("name,grid", [("Decision Tree", {"maxDepth": [2, 4, 7]}), ("GBT", {"maxIter": [1, 3, 5], "maxDepth": [2]})])
+def test_parts_of_a_fit_equal_separate_fits(staged_folds, name, grid):
+    rows = staged_folds("compact", COMPACT)
+    encoded = fold_statistics(rows, COMPACT, 3).encoder().transform(rows).select(LABEL, "features").cache()
+    estimator = training.REGRESSORS[name]()
+    points = training.param_grid(estimator, grid)
+    (fit,) = shared_fits(estimator, points)
+    model = estimator.fit(encoded, fit.point)
+    scored = with_predictions(encoded, model, {f"p{i}": part for i, part in fit.serves.items()})
+    for i, point in enumerate(points):
+        scored = with_predictions(scored, estimator.fit(encoded, point), {f"q{i}": None})
+    apart = [F.max(F.abs(F.col(f"p{i}") - F.col(f"q{i}"))).alias(f"d{i}") for i in range(len(points))]
+    assert max(scored.agg(*apart).first()) < 1e-9
+    assert scored.columns[-2:] == [f"q{len(points) - 2}", f"q{len(points) - 1}"]
+    encoded.unpersist()
+
+
+def test_shared_fits_give_the_same_grid(staged_folds):
+    rows = staged_folds("compact", COMPACT)
+    grids = (
+        ("Decision Tree", {"maxDepth": [2, 5], "maxBins": [32, 48]}),
+        ("Random Forest", {"numTrees": [3], "maxDepth": [2, 3]}),
+        ("GBT", {"maxIter": [2, 4], "maxDepth": [2]}),
+    )
+    made = [(name, training.REGRESSORS[name](), grid) for name, grid in grids]
+    tried = [training.Candidate(n, e, training.param_grid(e, grid)) for n, e, grid in made]
+    shared, apart = (
+        training.cross_validate(rows, COMPACT, tried, parallelism=4, nested=nested) for nested in (True, False)
+    )
+    assert [r.candidate.name for r in shared] == [r.candidate.name for r in apart]
+    assert [r.rmse for r in shared] == pytest.approx([r.rmse for r in apart], rel=1e-9)
+    assert [r.mae for r in shared] == pytest.approx([r.mae for r in apart], rel=1e-9)
