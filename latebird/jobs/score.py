@@ -15,6 +15,8 @@ def main() -> None:
     parser.add_argument("model", help="a saved pipeline")
     parser.add_argument("output", help="gets predictions/ and report/")
     parser.add_argument("--fail-fast", action="store_true", help="fail on a malformed cell")
+    parser.add_argument("--published", action="store_true", help="MODEL holds versions; use the latest")
+    parser.add_argument("--by", nargs="*", default=[], help="columns that part the output; only parts of the batch are replaced")
     given = parser.parse_args()
     spark = SparkSession.builder.appName("latebird-score").getOrCreate()
     result = score_files(
@@ -24,6 +26,8 @@ def main() -> None:
         f"{given.output}/predictions",
         fail_fast=given.fail_fast,
         report_path=f"{given.output}/report",
+        partition_by=given.by,
+        published=given.published,
     )
     result.sample.show()
     result.report.show(truncate=False)

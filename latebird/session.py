@@ -85,6 +85,11 @@ def _delete(jvm, configuration, path: str) -> None:
 
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Delete a table written by `stage_table`."""
+    drop_folder(spark, path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that the session reaches."""
     context = spark.sparkContext
     _delete(context._jvm, context._jsc.hadoopConfiguration(), path)
 

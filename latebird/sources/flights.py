@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,18 +20,22 @@ def read_flights_csv(
     infer: bool = False,
     null_token: str = NULL_TOKEN,
     fail_fast: bool = False,
+    types: Mapping[str, T.DataType] = FLIGHT_COLUMNS,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Read headed flight CSVs: one file, several files, a glob or a directory.
 
-    Column names come from the header, types from the declared columns; an
-    undeclared column is text. Only a header line is read for that, where
+    Column names come from the header, types from the declared columns (or
+    `types`); an undeclared column is text. Only a header line is read for that, where
     `infer=True`, which takes the types from the data, reads the whole input an
     extra time and may give batches different types. `enforceSchema=False`
     makes Spark compare every file's header, so a file whose columns are in
     another order than the first one's fails instead of filling wrong columns.
 
     A cell that is no value of its type becomes null, unless `fail_fast` makes it
-    fail the job; `count_malformed` says how many lines hold such cells.
+    fail the job; `count_malformed` says how many lines hold such cells, and
+    `malformed` names a further column that holds them whole, as far as the
+    columns that are read show it.
     """
     paths = path if isinstance(path, str) else list(path)
     reader = spark.read.option("header", True).option("nullValue", null_token)
@@ -40,10 +44,11 @@ def read_flights_csv(
     if infer:
         return reader.option("inferSchema", True).csv(paths)
     header = reader.csv(paths).columns
-    schema = T.StructType(
-        [T.StructField(name, FLIGHT_COLUMNS.get(name, T.StringType())) for name in header]
-    )
-    return reader.option("enforceSchema", False).schema(schema).csv(paths)
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    if malformed:
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+        fields.append(T.StructField(malformed, T.StringType()))
+    return reader.option("enforceSchema", False).schema(T.StructType(fields)).csv(paths)
 
 
 def count_malformed(
@@ -81,10 +86,16 @@ def write_table(
     *,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    replace_partitions: bool = False,
 ) -> None:
     """Write Parquet, vectors included. Partition by `Year` where batches are
-    read by year, so that later reads skip the other years' files."""
+    read by year, so that later reads skip the other years' files.
+    `replace_partitions`: overwrite only the partitions that `df` has rows of."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if replace_partitions:
+        if mode != "overwrite" or not partition_by:
+            raise ValueError("replacing partitions needs partition columns and mode overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
