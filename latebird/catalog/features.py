@@ -18,6 +18,7 @@ from latebird.catalog.flights import (
 )
 from latebird.catalog.relational import rounded
 from latebird.operators import cleaning, encoding
+from latebird.operators.category_index import fit_category_index
 from latebird.plans import training
 from latebird.plans.recipes import COMPACT, DETAILED, SELECTED, Recipe
 from latebird.schema import LABEL, TAKEOFF_COLUMNS
@@ -100,16 +101,21 @@ def string_index_numeric(spark, sf_dir):
     return _indexed(spark, sf_dir, _CALENDAR)
 
 
+_WIDE = ["TailNum", "Origin", "DayOfWeek"]
+
+
+@query("string_index_table", _index_oracle(_WIDE))
+def string_index_table(spark, sf_dir):
+    """Indices from a dictionary table; 50 frequent values are broadcast, the rest joined."""
+    df = flights(spark, sf_dir).select(*_WIDE)
+    return fit_category_index(df, _WIDE).transform(df, head=50)
+
+
 def sparse_form(vector: str):
     """Size and active places of a vector in its sparse form, without unfolding
     it; null for a dense one."""
-    text = F.col(vector).cast("string")  # as (size,[places],[values])
-    sparse = text.startswith("(")
-    places = F.split(F.regexp_extract(text, r"\[([\d,]*)\]", 1), ",")
-    return (
-        F.when(sparse, F.regexp_extract(text, r"^\((\d+),", 1).cast("int")),
-        F.when(sparse, F.filter(F.transform(places, lambda x: x.try_cast("int")), lambda x: x.isNotNull())),
-    )
+    parts = F.unwrap_udt(vector)
+    return parts.getField("size"), parts.getField("indices")
 
 
 _ONE_HOT = ["UniqueCarrier", "Month", "Origin"]
@@ -281,9 +287,7 @@ _CATEGORIES = list(DETAILED.categories)
     ),
 )
 def assemble_features(spark, sf_dir):
-    features = _encoded(training.model_rows(flights(spark, sf_dir), DETAILED)).select(
-        LABEL, F.col(encoding.FEATURES).cast("string").alias(encoding.FEATURES)
-    )
+    features = _encoded(training.model_rows(flights(spark, sf_dir), DETAILED))
     size, places = sparse_form(encoding.FEATURES)
     form = features.select(LABEL, size.alias("n_features"), places.alias("places"))
     first_numeric = F.col("n_features") - len(DETAILED.numerics)

@@ -1,0 +1,59 @@
+"""The index kept as a table, against the model form."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from latebird.operators.category_index import fit_category_index, load_category_index
+from latebird.operators.encoding import string_indexer
+
+COLUMNS = ["TailNum", "Origin", "Month"]
+
+
+@pytest.fixture(scope="module")
+def rows(flights):
+    nulls = flights.limit(20).withColumns({"TailNum": F.lit(None).cast("string"), "Month": F.lit(None).cast("int")})
+    return flights.unionByName(nulls).select(*COLUMNS, "Distance").cache()
+
+
+def _same(a, b):
+    a, b = (d.select(*sorted(d.columns)) for d in (a, b))
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.mark.parametrize("head", [10_000, 3])
+def test_indices_equal_the_model_form(rows, head):
+    part = rows.where("Distance > 700")
+    found = fit_category_index(part, COLUMNS).transform(rows, head)
+    assert _same(found, string_indexer(COLUMNS).fit(part).transform(rows))
+
+
+def test_more_values_than_the_model_form_takes(spark):
+    df = spark.range(3_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('v', id) END AS v", "id")
+    with pytest.raises(ValueError, match="bound"):
+        string_indexer(["v"], most=500).fit(df)
+    index = fit_category_index(df, ["v"])
+    assert index.sizes == {"v": 2_001}
+    found = index.transform(df, head=100)
+    assert found.where("v = 'hot'").select("v_idx").distinct().collect() == [(0.0,)]
+    assert found.agg(F.countDistinct("v_idx"), F.max("v_idx")).first() == (2_001, 2_000.0)
+
+
+def test_broadcasts_the_head_only(rows):
+    index = fit_category_index(rows, ["TailNum"])
+    plan = index.transform(rows, head=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1
+    assert index.transform(rows, head=10_000)._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_saved_and_loaded(spark, rows, tmp_path):
+    index = fit_category_index(rows, COLUMNS)
+    index.save(str(tmp_path / "index"))
+    again = load_category_index(spark, str(tmp_path / "index"))
+    assert again.sizes == index.sizes
+    assert _same(again.transform(rows), index.transform(rows))
+
+
+def test_empty(spark, rows):
+    index = fit_category_index(rows.limit(0), ["Origin"])
+    assert index.sizes == {"Origin": 0}
+    assert index.transform(rows).select("Origin_idx").distinct().collect() == [(0.0,)]
