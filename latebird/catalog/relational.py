@@ -17,7 +17,7 @@ from latebird.catalog.flights import (
     hhmm_sql,
 )
 from latebird.functions import clock
-from latebird.operators import cleaning, leaderboard, median, metrics, profile, timefeatures
+from latebird.operators import cleaning, leaderboard, median, metrics, profile, sketch, timefeatures
 from latebird.plans import stages
 from latebird.schema import (
     DEPARTURE,
@@ -416,6 +416,28 @@ def taxi_out_median_fill(spark, sf_dir):
     return median.fill_with_batch_median(flights(spark, sf_dir), "TaxiOut")
 
 
+@query(
+    "taxi_out_sketch",
+    check_sql(
+        """SELECT s AS share, TRUE AS within_error
+        FROM (VALUES (0.1::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE)) AS t(s)"""
+    ),
+)
+def taxi_out_sketch(spark, sf_dir):
+    """Quantiles from a sketch merged in two levels, held against the exact ranks."""
+    values = flights(spark, sf_dir).select("TaxiOut").dropna()
+    found = sketch.quantiles(sketch.sketch_column(values, "TaxiOut"), [0.1, 0.5, 0.9])
+    counted = values.groupBy("TaxiOut").count()
+    ranks = counted.join(F.broadcast(found)).groupBy("share", "value").agg(  # three rows
+        (F.sum(F.when(F.col("TaxiOut") < F.col("value"), F.col("count")).otherwise(0)) / F.sum("count")).alias("below"),
+        (F.sum(F.when(F.col("TaxiOut") <= F.col("value"), F.col("count")).otherwise(0)) / F.sum("count")).alias("upto"),
+    )
+    error = 2 * sketch.rank_error()
+    return ranks.select(
+        "share", ((F.col("below") - error <= F.col("share")) & (F.col("share") <= F.col("upto") + error)).alias("within_error")
+    )
+
+
 # --- Metrics and choice ----------------------------------------------------
 
 

@@ -1,0 +1,54 @@
+"""Mergeable quantile sketches against exact ranks."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from latebird.operators.sketch import (
+    fill_with_sketch_median,
+    largest_shift,
+    merge_sketches,
+    quantiles,
+    rank_error,
+    sketch_column,
+)
+
+
+def _rank_distance(df, value, share):
+    """How far a value's ranks lie from the share wanted."""
+    n = df.count()
+    below, upto = df.where(F.col("v") < value).count() / n, df.where(F.col("v") <= value).count() / n
+    return max(0.0, below - share, share - upto)
+
+
+@pytest.mark.parametrize("k", [200, 4_096])
+def test_ranks_within_the_stated_error(spark, k):
+    df = spark.range(0, 60_000, numPartitions=9).select((F.col("id") * F.col("id") % 99_991).alias("v"))
+    for r in quantiles(sketch_column(df, "v", k, parts=4), [0.01, 0.25, 0.5, 0.9]).collect():
+        assert _rank_distance(df, r["value"], r["share"]) <= 2 * rank_error(k)
+
+
+def test_two_levels_and_stored_batches(spark, tmp_path):
+    whole = spark.range(0, 30_000, numPartitions=8).select((F.col("id") % 977).cast("int").alias("v"))
+    for name, part in (("a", whole.where("v < 300")), ("b", whole.where("v >= 300 OR v IS NULL"))):
+        sketch_column(part, "v").write.mode("append").parquet(str(tmp_path / "s"))
+    merged = merge_sketches(spark.read.parquet(str(tmp_path / "s")))
+    assert _rank_distance(whole, quantiles(merged).first()["value"], 0.5) <= 2 * rank_error()
+    plan = sketch_column(whole, "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2  # by part, then the few parts' sketches
+
+
+def test_exact_while_few(spark):
+    df = spark.createDataFrame([(x,) for x in (5, None, 1, 9, 3, 7)], "v int")
+    assert quantiles(sketch_column(df, "v"), [0.5]).first()["value"] == 5
+    filled = fill_with_sketch_median(df, "v", sketch_column(df, "v"))
+    assert sorted(r["v"] for r in filled.collect()) == [1, 3, 5, 5, 7, 9] and filled.dtypes == df.dtypes
+    none = df.where("v IS NULL")
+    assert [r["v"] for r in fill_with_sketch_median(none, "v", sketch_column(none, "v")).collect()] == [0]
+
+
+def test_batches_compared(spark):
+    df = spark.range(20_000).select((F.col("id") % 1_000).alias("v"))
+    same, moved = df.where("v % 2 = 0"), df.withColumn("v", F.col("v") + 300)
+    first = sketch_column(df, "v")
+    assert largest_shift(first, sketch_column(same, "v")).first()["shift"] < 0.01
+    assert largest_shift(first, sketch_column(moved, "v")).first()["shift"] == pytest.approx(0.3, abs=0.02)
