@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Size parameter of a sketch, and the sketches that the last task merges.
@@ -47,22 +47,35 @@ def merge_sketches(sketches: DataFrame, k: int = K) -> DataFrame:
 
 def quantiles(sketch: DataFrame, shares: Sequence[float] = (0.5,)) -> DataFrame:
     """Rows (share, value) from a one-row sketch: about that share of the values do
-    not exceed `value`."""
-    rows = F.array(*[F.struct(F.lit(float(s)).alias("share"), F.kll_sketch_get_quantile_bigint(SKETCH, F.lit(float(s))).alias("value")) for s in shares])
-    return sketch.select(F.inline(rows))
+    not exceed `value`, which is null where there are none."""
+
+    def row(share: float) -> Column:
+        value = F.when(_filled(SKETCH), F.kll_sketch_get_quantile_bigint(SKETCH, F.lit(share)))
+        return F.struct(F.lit(share).alias("share"), value.alias("value"))
+
+    return sketch.select(F.inline(F.array(*[row(float(s)) for s in shares])))
+
+
+def _filled(sketch: str) -> Column:
+    """Whether a sketch has seen a value; an empty one has no quantiles."""
+    return F.coalesce(F.kll_sketch_get_n_bigint(sketch) > 0, F.lit(False))
 
 
 def largest_shift(before: DataFrame, after: DataFrame, steps: int = 20) -> DataFrame:
     """One row (shift): the largest difference between two batches' shares of values
     up to a point, over `steps` - 1 quantiles of the first. From 0 for batches
-    that are alike to 1; `rank_error` of both comes on top."""
-    points = quantiles(before, [i / steps for i in range(1, steps)])
-    first, second = (
-        F.broadcast(s.select(F.col(SKETCH).alias(name))) for s, name in ((before, "first"), (after, "second"))
-    )  # one row each, of bounded size
-    ranks = points.join(first).join(second)
-    apart = F.abs(F.kll_sketch_get_rank_bigint("first", "value") - F.kll_sketch_get_rank_bigint("second", "value"))
-    return ranks.agg(F.max(apart).alias("shift"))
+    that are alike to 1; `rank_error` of both comes on top. Null if one is empty."""
+    # The points are constants to the rank function: `steps` - 1 numbers come to the driver.
+    found = quantiles(before, [i / steps for i in range(1, steps)]).collect()
+    points = sorted({r["value"] for r in found if r["value"] is not None})
+
+    def ranks(sketch: DataFrame, name: str) -> DataFrame:
+        each = F.array(*[F.kll_sketch_get_rank_bigint(SKETCH, F.lit(p).cast("bigint")) for p in points])
+        return sketch.select(F.when(_filled(SKETCH), each).alias(name))
+
+    both = ranks(before, "first").join(F.broadcast(ranks(after, "second")))  # one row each
+    apart = F.zip_with("first", "second", lambda a, b: F.abs(a - b))
+    return both.select(F.array_max(apart).cast("double").alias("shift"))
 
 
 def fill_with_sketch_median(df: DataFrame, column: str, sketch: DataFrame) -> DataFrame:
