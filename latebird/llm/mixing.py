@@ -116,9 +116,10 @@ def fit_cells(cells: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return one.select(*names, "tokens", "share", "weight", p.alias("probability"))
 
 
-def draw(doc_id: Column, seed: int) -> Column:
-    """A number in [0, 1) from a document's id."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("none")), F.lit(f":{seed}")))
+def draw(doc_id: Column, text: Column, seed: int) -> Column:
+    """A number in [0, 1) from a document's id, or from its text where that is null."""
+    named = F.coalesce(doc_id.cast("string"), F.concat(F.lit("none "), F.md5(text)))
+    digest = F.md5(F.concat(named, F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(16**13)
 
 
@@ -143,8 +144,8 @@ def sample_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
     A null source or language is a value of its own; null text is topic
     "(none)" of no tokens. Documents without words have no tokens to mix and
-    are not sampled. Rows with one doc_id are drawn together, as are those
-    with a null one. An empty table gives no rows.
+    are not sampled. Rows with one doc_id are drawn together, and of those with
+    a null one the rows with one text. An empty table gives no rows.
     """
     marked, names = _marked(docs, mix)
     tokens = names.pop("tokens")
@@ -158,7 +159,7 @@ def sample_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         *[F.col(d).alias(names[d]) for d in names], F.col("probability").alias(p)
     )
     joined = marked.where(F.col(tokens) > 0).join(fitted, list(names.values()))
-    kept = joined.where(draw(F.col("doc_id"), mix.seed) < F.col(p))
+    kept = joined.where(draw(F.col("doc_id"), F.col("text"), mix.seed) < F.col(p))
     return kept.select(*docs.columns, names["topic"], tokens, p)
 
 
@@ -167,7 +168,7 @@ def check_sql(mix: Mix = Mix()) -> str:
     names = list(mix.powers)
     dims = ", ".join(names)
     steps = [
-        "docs AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, "
+        "docs AS (SELECT doc_id, text, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, "
         f"{TOPIC} AS topic, CAST(coalesce(len(regexp_extract_all(text, '[^ \\t-\\r]+')), 0) AS BIGINT) "
         "AS tokens FROM documents)",
         f"cells AS (SELECT {dims}, sum(tokens) AS tokens FROM docs GROUP BY {dims} HAVING sum(tokens) > 0)",
@@ -200,7 +201,7 @@ def check_sql(mix: Mix = Mix()) -> str:
         "AS scale FROM scaled)",
         f"fitted AS (SELECT {dims}, least(1.0, coalesce(scale * rate, 1.0)) AS p FROM chosen)",
     ]
-    digest = f"md5(concat(coalesce(CAST(doc_id AS VARCHAR), 'none'), ':{mix.seed}'))"
+    digest = f"md5(concat(coalesce(CAST(doc_id AS VARCHAR), concat('none ', md5(text))), ':{mix.seed}'))"
     drawn = f"CAST(CAST(concat('0x', substr({digest}, 1, 13)) AS BIGINT) AS DOUBLE) / {float(16**13)!r}"
     return (
         f"WITH {', '.join(steps)} SELECT doc_id, {dims}, tokens, round(p, 6) AS probability "

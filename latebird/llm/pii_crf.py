@@ -1,8 +1,9 @@
 """Personal data: base patterns, and a skip-chain conditional random field on top.
 
 The base patterns find mail addresses, IP addresses, card and phone numbers. The
-field labels the tokens that hold a digit or an @ (no other token can be of
-these kinds) with a kind or none. Neighbouring tokens share chain potentials;
+field labels the tokens that hold a digit or an @, and the words that are the local
+part of an address in the same text, with a kind or none (no other token can be of
+these kinds). Neighbouring tokens share chain potentials;
 distant tokens that repeat or resemble each other (equal but for case and marks,
 same digits, same last seven digits, same local part of an address) share skip
 potentials. Occurrences of one key are linked one to the next, so there are
@@ -21,6 +22,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,16 @@ from latebird.llm.common import ship_package, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-#: Documents in the fit; tokens beyond which a document isn't used for it.
+#: Documents in the fit; tokens and their signs beyond which a document isn't used for it.
 SAMPLE = 2_000
 MOST_TOKENS = 400
+MOST_SIGNS = 20_000
 STEPS, RATE, PENALTY = 400, 0.1, 1e-4
-ROUNDS, DAMPING = 12, 0.3
+DAMPING = 0.3
+#: Messages are passed on while a log message changes by more than this. Loops need
+#: not settle: rounds end at `LEAST_ROUNDS` or four for each token of the batch's
+#: longest document, whichever is more, which any chain in it settles within.
+TOLERANCE, LEAST_ROUNDS, ROUNDS_A_TOKEN = 1e-4, 200, 4
 #: The least probability of a label that adds a span.
 SURE = 0.9
 #: Digits up to which neighbouring tokens of a kind are one span: cards and phones in groups.
@@ -50,7 +57,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGITS = re.compile(r"[^0-9]+")
-_TOKEN = re.compile(r"\S*[0-9@]\S*")
+# From the start of a word only, so that a word without them is read once.
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
+_WORD = re.compile(r"\S+")
+#: Signs of a local part from which on it links an address to its mentions.
+LEAST_LOCAL = 5
 _EDGES = "\"'`.,;:!?<>[]{}#*$%&|"
 
 
@@ -104,36 +115,56 @@ class Tokens:
     follows: list[bool]  # the token right before this one is the one before it here
 
 
-def tokens(text: str) -> Tokens:
+def _core(word: str, start: int) -> tuple[str, int]:
+    """A word without signs at its edges, and where that begins."""
+    core = word.strip(_EDGES)
+    return core, start + len(word) - len(word.lstrip(_EDGES))
+
+
+def tokens(text: str, mentions: bool = False) -> Tokens:
+    """Words with a digit or @; with `mentions` also those that are the local part of
+    an address in the same text."""
+    found = [(m.start(), m.end(), *_core(m.group(), m.start())) for m in _TOKEN.finditer(text)]
+    if mentions:
+        named = {core.lower().split("@")[0] for _, _, core, _ in found if "@" in core}
+        named = {n for n in named if len(n) >= LEAST_LOCAL and not _TOKEN.search(n)}
+        if named:
+            words = ((m.start(), m.end(), *_core(m.group(), m.start())) for m in _WORD.finditer(text))
+            found = sorted(found + [w for w in words if w[2].lower() in named])
     out = Tokens([], [], [])
     end = -1
-    for m in _TOKEN.finditer(text):
-        word = m.group()
-        core = word.strip(_EDGES)
+    for first, last, core, start in found:
         if not core:
             continue
-        start = m.start() + len(word) - len(word.lstrip(_EDGES))
         out.texts.append(core)
         out.starts.append(start)
-        out.follows.append(end >= 0 and not text[end : m.start()].strip())
-        end = m.end()
+        out.follows.append(end >= 0 and not text[end:first].strip())
+        end = last
     return out
 
 
+class Spans:
+    """Spans by start, asked for those that touch a stretch."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.spans = spans
+        self.starts = [s[0] for s in spans]
+        self.furthest = list(accumulate((s[1] for s in spans), max))
+
+    def touching(self, start: int, end: int) -> Iterator[tuple[int, int, int]]:
+        """From the last to the first; none before can reach `start` where no end does."""
+        i = bisect_left(self.starts, end) - 1
+        while i >= 0 and self.furthest[i] > start:
+            if self.spans[i][1] > start:
+                yield self.spans[i]
+            i -= 1
+
+
 def labels_of(found: Tokens, spans: list[tuple[int, int, int]]) -> list[int]:
     """The label of each token: the kind of the span that covers it."""
-    starts = [s[0] for s in spans]
-    labels = []
-    for text, start in zip(found.texts, found.starts):
-        end, label = start + len(text), 0
-        i = bisect_left(starts, end) - 1
-        while i >= 0 and spans[i][0] > start - 64:
-            if spans[i][0] < end and spans[i][1] > start:
-                label = spans[i][2] + 1
-                break
-            i -= 1
-        labels.append(label)
-    return labels
+    known = Spans(spans)
+    touching = (next(known.touching(start, start + len(text)), None) for text, start in zip(found.texts, found.starts))
+    return [span[2] + 1 if span else 0 for span in touching]
 
 
 _FEATURES = 48
@@ -176,7 +207,7 @@ def keys(text: str) -> set[str]:
     if len(digits) >= 7:
         out |= {"d" + digits, "7" + digits[-7:]}
     local = lower.split("@")[0]
-    if len(local) >= 5 and not local.isdigit():
+    if len(local) >= LEAST_LOCAL and not local.isdigit():
         out.add("l" + local)
     return out
 
@@ -199,10 +230,12 @@ class Graph:
         self.feature_rows: list[list[int]] = []
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
+        self.longest = 0
 
     def add(self, found: Tokens) -> int:
         """Add a document; the number of its first token."""
         first = len(self.feature_rows)
+        self.longest = max(self.longest, len(found.texts))
         self.feature_rows += map(features, found.texts)
         self.chain += [(first + i - 1, first + i) for i, f in enumerate(found.follows) if f]
         self.skip += [(first + a, first + b) for a, b in skip_links(found.texts)]
@@ -255,26 +288,38 @@ def fit_field(x: np.ndarray, chain: np.ndarray, skip: np.ndarray, y: np.ndarray)
     return Field(unary, pair, link)
 
 
-def marginals(field: Field, x: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
-    """Label probabilities of each token by loopy sum-product message passing."""
-    unary = x @ field.unary
+def marginals(
+    field: Field, x: np.ndarray, chain: np.ndarray, skip: np.ndarray, longest: int | None = None
+) -> np.ndarray:
+    """Label probabilities of each token by loopy sum-product message passing.
+
+    Only messages at tokens where something changed are sent again, so a long chain
+    costs its length and not that of the batch each round. `longest`: tokens of the
+    longest document."""
+    belief = x @ field.unary
     ends = np.concatenate((chain, skip))
     if len(ends):
         kind = np.repeat([0, 1], [len(chain), len(skip)])
-        potentials = np.stack((field.chain, field.skip))[kind]  # edges x first x second
+        potentials = np.stack((field.chain, field.skip))  # kinds x first x second
         down, up = (np.zeros((len(ends), len(LABELS))) for _ in range(2))
-        for _ in range(ROUNDS):
-            belief = unary.copy()
-            np.add.at(belief, ends[:, 1], down)
-            np.add.at(belief, ends[:, 0], up)
-            new_down = _sent((belief[ends[:, 0]] - up)[:, :, None] + potentials, 1)
-            new_up = _sent((belief[ends[:, 1]] - down)[:, None, :] + potentials, 2)
-            down = DAMPING * down + (1 - DAMPING) * new_down
-            up = DAMPING * up + (1 - DAMPING) * new_up
-        np.add.at(unary, ends[:, 1], down)
-        np.add.at(unary, ends[:, 0], up)
-    unary -= unary.max(axis=1, keepdims=True)
-    p = np.exp(unary)
+        active = np.arange(len(ends))
+        for _ in range(max(LEAST_ROUNDS, ROUNDS_A_TOKEN * (len(x) if longest is None else longest))):
+            first, second = ends[active, 0], ends[active, 1]
+            tie = potentials[kind[active]]
+            change_down = (1 - DAMPING) * (_sent((belief[first] - up[active])[:, :, None] + tie, 1) - down[active])
+            change_up = (1 - DAMPING) * (_sent((belief[second] - down[active])[:, None, :] + tie, 2) - up[active])
+            down[active] += change_down
+            up[active] += change_up
+            np.add.at(belief, second, change_down)
+            np.add.at(belief, first, change_up)
+            moved = np.zeros(len(x), bool)
+            moved[second[np.abs(change_down).max(axis=1) > TOLERANCE]] = True
+            moved[first[np.abs(change_up).max(axis=1) > TOLERANCE]] = True
+            if not moved.any():
+                break
+            active = np.flatnonzero(moved[ends[:, 0]] | moved[ends[:, 1]])
+    belief -= belief.max(axis=1, keepdims=True)
+    p = np.exp(belief)
     return p / p.sum(axis=1, keepdims=True)
 
 
@@ -316,15 +361,14 @@ def added_spans(
     found: Tokens, probabilities: np.ndarray, base: list[tuple[int, int, int]]
 ) -> list[tuple[int, int, int]]:
     """Runs of tokens with one sure kind, where no base span is."""
-    taken = [(s, e) for s, e, _ in base]
+    taken = Spans(base)
     out: list[tuple[int, int, int]] = []
     best = probabilities.argmax(axis=1)
     sure = (best > 0) & (probabilities.max(axis=1) >= SURE)
     open_, digits = -1, 0
     for i, (text, start) in enumerate(zip(found.texts, found.starts)):
         end = start + len(text)
-        clear = sure[i] and not any(s < end and e > start for s, e in _near(taken, start, end))
-        if not clear:
+        if not sure[i] or next(taken.touching(start, end), None):
             continue
         size = len(_NOT_DIGITS.sub("", text))
         most = MOST_DIGITS[best[i] - 1]
@@ -338,12 +382,6 @@ def added_spans(
     return out
 
 
-def _near(taken: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
-    """The spans that may touch start to end; spans are sorted and mostly apart."""
-    i = bisect_left(taken, (end, 0))
-    return taken[max(0, i - 8) : i]
-
-
 _FOUND = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
     "base_sha256 string, spans string, n_added long"
@@ -367,7 +405,7 @@ def fit_from(docs: DataFrame, sample: int = SAMPLE) -> Field:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = tokens(text)
-                if len(found.texts) <= MOST_TOKENS:
+                if len(found.texts) <= MOST_TOKENS and sum(map(len, found.texts)) <= MOST_SIGNS:
                     rows.append((doc_id, found.texts, found.follows, labels_of(found, base_spans(text))))
             columns = list(zip(*rows)) if rows else [[], [], [], []]
             kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.int32()))
@@ -418,11 +456,11 @@ def find_personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 if base:
                     spans[i] = spans_text(base)
                     digests[i] = hashlib.sha256(spans[i].encode()).hexdigest()
-                found = tokens(text)
+                found = tokens(text, mentions=True)
                 if found.texts:
                     held.append((i, graph.add(found), found, base))
             if held:
-                p = marginals(field, *graph.arrays())
+                p = marginals(field, *graph.arrays(), graph.longest)
                 for i, first, found, base in held:
                     more = added_spans(found, p[first : first + len(found.texts)], base)
                     if more:

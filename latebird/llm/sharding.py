@@ -26,6 +26,9 @@ from latebird.llm.common import staged, text_or_empty
 DIMENSIONS = ("length", "source", "lang", "doc_id")
 #: A group of more than this share of a shard, in bytes or rows, is dealt out.
 GROUP_SHARE = 0.1
+#: A group that is dealt out has this many times finer parts, so that a split of the
+#: tree, which takes whole parts, misses its quantile by little.
+FINER = 4
 DIGIT_BITS = 10
 KEY_BITS = 63
 #: Bytes that a row adds to its text.
@@ -55,23 +58,25 @@ def _sized(docs: DataFrame) -> DataFrame:
         F.length(text).alias("length"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+        # Written with the sizes, so it stays; null and repeated ids are dealt out by it.
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
-def _points(rows: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+def _points(rows: DataFrame, shards: int, group_share: float) -> tuple[DataFrame, DataFrame]:
     """(rows with the part of their group, points of the tree)."""
     group = ["hash", "text_crc32", "size"]
     groups = rows.groupBy(*group).agg(F.count("*").alias("n"))
     total = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
-    most_rows = max(1.0, GROUP_SHARE * total["n"] / shards)
-    most_bytes = max(1.0, GROUP_SHARE * (total["bytes"] or 0) / shards)
-    # Not more than 2 * shards / GROUP_SHARE groups can pass either bound.
+    most_rows = max(1.0, group_share * total["n"] / shards)
+    most_bytes = max(1.0, group_share * (total["bytes"] or 0) / shards)
+    # Not more than 2 * shards / group_share groups can pass either bound.
     large = groups.where((F.col("n") > most_rows) | (F.col("n") * F.col("size") > most_bytes)).where(
         "n > 1"
     )
-    parts = F.ceil(F.greatest(F.col("n") / most_rows, F.col("n") * F.col("size") / most_bytes))
+    parts = F.ceil(FINER * F.greatest(F.col("n") / most_rows, F.col("n") * F.col("size") / most_bytes))
     large = large.select(*group, parts.cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1))).cast("int")
+    part = F.pmod(F.col("row"), F.coalesce("parts", F.lit(1))).cast("int")
     dealt = rows.join(F.broadcast(large), group, "left").withColumn("part", part).drop("parts")
     points = dealt.groupBy(*group, "part").agg(
         F.sum("size").alias("bytes"),
@@ -172,21 +177,23 @@ def _find_splits(points: DataFrame, nodes: dict[int, Node], total: dict[int, int
                 raise AssertionError("the bytes of a node don't reach its quantile")
 
 
-def assign_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 24, group_share: float = GROUP_SHARE) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) for every row of `docs` (doc_id,
     text, source, lang).
 
     size is the text's UTF-8 bytes plus 8 (null text: 8). slot numbers a
     shard's rows from 0 without gaps. Null metadata is a value of its own; a
     null doc_id stays null. Equal texts share a shard unless their group is
-    larger than a tenth of a shard. Repeated rows each get a slot. With fewer
+    larger than `group_share` of a shard, in bytes or rows: such a group is dealt
+    out row by row, whatever the ids, so that the shards' bytes come out even.
+    Repeated rows each get a slot. With fewer
     texts than shards some shards stay empty; an empty table gives no rows.
     """
     spark = docs.sparkSession
     if shards < 1:
         raise ValueError("at least one shard is needed")
     rows = staged(_sized(docs), "sizes")
-    dealt, points = _points(rows, shards)
+    dealt, points = _points(rows, shards, group_share)
     dealt, points = staged(dealt, "sizes"), staged(points, "points")
     points = staged(_keyed(points)[0], "points")
     leaves: list[Node] = []
@@ -220,25 +227,25 @@ def assign_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
     named = _small(spark, [(x.number, x.low) for x in leaves], "node int, shard int")
     placed = points.join(named, "node").select("hash", "text_crc32", "size", "part", "shard")
     placed = dealt.join(placed, ["hash", "text_crc32", "size", "part"])
-    return _numbered(placed.select("doc_id", "size", "text_crc32", "shard"), shards)
+    return _numbered(placed.select("doc_id", "size", "text_crc32", "shard", "row"), shards)
 
 
 def _numbered(rows: DataFrame, shards: int) -> DataFrame:
     """Rows with a slot: numbered within parts of a shard that one task can hold."""
     rows = staged(rows, "placed")
     parts = 1 + rows.count() // (shards * NUMBERED)
-    rows = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)))
+    rows = rows.withColumn("piece", F.pmod(F.xxhash64("row"), F.lit(parts)))
     earlier = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("shard", "piece")
         .agg(F.count("*").alias("n"))
         .select("shard", "piece", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     )
-    within = Window.partitionBy("shard", "piece").orderBy("doc_id", "text_crc32")
+    within = Window.partitionBy("shard", "piece").orderBy("doc_id", "text_crc32", "row")
     return (
-        rows.withColumn("row", F.row_number().over(within) - 1)
+        rows.withColumn("within", F.row_number().over(within) - 1)
         .join(starts, ["shard", "piece"])
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("row")).alias("slot"))
+        .select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("within")).alias("slot"))
     )
 
 

@@ -1,0 +1,83 @@
+"""Rows without ids, repeated rows, and long words."""
+
+import time
+from collections import Counter
+
+import numpy as np
+
+from latebird.llm import mixing, pii_crf, sharding
+
+
+def test_rows_without_an_id_are_dealt_evenly(make_docs):
+    docs = make_docs(*[(None, "", "en", "s", 0)] * 3_000, *[(i, "", "en", "s", 0) for i in range(1_000)])
+    placed = sharding.assign_shards(docs, 24).collect()
+    sizes = Counter()
+    for r in placed:
+        sizes[r["shard"]] += r["size"]
+    mean = sum(sizes.values()) / 24
+    assert len(placed) == 4_000 and len(sizes) == 24
+    assert max(sizes.values()) < 1.05 * mean
+    slots = Counter((r["shard"], r["slot"]) for r in placed)
+    counts = Counter(r["shard"] for r in placed)
+    assert all(slots[s, i] == 1 for s, n in counts.items() for i in range(n))
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(make_docs):
+    mix = mixing.Mix(budget=0.5)
+    docs = make_docs(*[(None, f"alpha beta gamma number {i}", "en", "s", 0) for i in range(400)])
+    kept = mixing.sample_mix(docs, mix).count()
+    assert 150 < kept < 250
+    assert mixing.sample_mix(docs, mix).count() == kept
+
+
+def test_a_long_word_is_read_once():
+    word = "a" * 1_000_000
+    begun = time.perf_counter()
+    assert pii_crf.tokens(word + " x1").texts == ["x1"]
+    assert pii_crf.base_spans(word) == []
+    assert time.perf_counter() - begun < 1
+
+
+def test_spans_of_any_length_touch():
+    spans = [(0, 500, 0), (10, 20, 1), (30, 40, 2), *[(50 + i, 51 + i, 3) for i in range(20)]]
+    known = pii_crf.Spans(spans)
+    for start, end in ((300, 310), (15, 35), (499, 600), (500, 600)):
+        wanted = [s for s in reversed(spans) if s[0] < end and s[1] > start]
+        assert list(known.touching(start, end)) == wanted
+
+
+def test_messages_reach_the_end_of_a_long_chain():
+    n, labels = 40, len(pii_crf.LABELS)
+    field = pii_crf.Field(np.zeros((pii_crf._FEATURES, labels)), np.zeros((labels, labels)), 6 * np.eye(labels))
+    field.unary[1, 2] = 12.0
+    x = np.zeros((n, pii_crf._FEATURES))
+    x[0, 1] = 1
+    skip = np.array([(i, i + 1) for i in range(n - 1)])
+    p = pii_crf.marginals(field, x, np.empty((0, 2), np.int64), skip, n)
+    exact, step = field.unary[1], np.exp(field.skip)
+    message = np.exp(exact - exact.max())
+    for i in range(n):
+        assert np.abs(p[i] - message / message.sum()).max() < 1e-3
+        message = message @ step
+        message /= message.sum()
+    alone = pii_crf.marginals(field, x[1:2], np.empty((0, 2), np.int64), np.empty((0, 2), np.int64))
+    assert np.allclose(alone, 1 / labels)
+
+
+def test_words_that_are_a_local_part_are_tokens():
+    text = "jane.doe@x.org wrote, and later Jane.Doe again; john.roe did not"
+    assert pii_crf.tokens(text).texts == ["jane.doe@x.org"]
+    found = pii_crf.tokens(text, mentions=True)
+    assert found.texts == ["jane.doe@x.org", "Jane.Doe"]
+    assert [text[s : s + len(t)] for s, t in zip(found.starts, found.texts)] == found.texts
+    assert pii_crf.skip_links(found.texts) == [(0, 1)]
+
+
+def test_a_local_part_is_found_again(documents, make_docs):
+    given = make_docs((1, "write to jane.doe@mail.example.org soon; ask jane.doe again"))
+    field = pii_crf.fit_from(documents)
+    text = given.first()["text"]
+    found, graph = pii_crf.tokens(text, mentions=True), pii_crf.Graph()
+    graph.add(found)
+    p = pii_crf.marginals(field, *graph.arrays(), graph.longest)
+    assert pii_crf.LABELS[p[1].argmax()] == "email"
