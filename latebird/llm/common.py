@@ -46,6 +46,15 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with the scheme of the file system that Spark would look for it in, so
+    that a worker which opens it by itself looks in the same place."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop_path).toString()
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from latebird.llm.common import ship_package, text_or_empty
+from latebird.llm.common import qualified, ship_package, text_or_empty
 from latebird.llm.tokenizing import tokenizer
 
 MAGIC = b"LBTOKEN1"
@@ -196,14 +196,16 @@ def write_token_files(
     """Encode `docs` (doc_id, text) into token files in ascending doc_id order.
 
     Returns the committed manifest (shard, path, n_docs, n_ids, n_bytes). The
-    rows are dealt by ranges of doc_id, so shards follow each other. Null text
-    is empty text: its document has the end id alone. A null doc_id sorts first
+    rows are dealt by ranges of doc_id (then text hash and place, so that rows of
+    one id need not share a file), so shards follow each other. A folder without a
+    scheme is one of Spark's default file system. Null text is empty text: its document has the end id alone. A null doc_id sorts first
     and stays null. Rows with one doc_id stand side by side, by the hash of
     their text; equal rows are all written. Other columns are left out. An
     empty table gives no file and an empty manifest.
     """
     spark = docs.sparkSession
     ship_package(spark)
+    folder = qualified(spark, folder)
     width = bits_for(vocabulary)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,9 +233,14 @@ def write_token_files(
             )
 
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            text_or_empty().alias("text"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        # Rows of one doc_id, or of none, are parted by text, and equal rows by place.
+        .repartitionByRange("doc_id", F.xxhash64("text"), "row")
+        .sortWithinPartitions("doc_id", F.xxhash64("text"), "row")
     )
     manifest = f"{folder}/manifest"
     ordered.mapInArrow(write, MANIFEST_SCHEMA).write.parquet(manifest)

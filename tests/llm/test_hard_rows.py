@@ -81,3 +81,20 @@ def test_a_local_part_is_found_again(documents, make_docs):
     graph.add(found)
     p = pii_crf.marginals(field, *graph.arrays(), graph.longest)
     assert pii_crf.LABELS[p[1].argmax()] == "email"
+
+
+def test_rows_without_an_id_go_to_several_files(spark, make_docs, tmp_path):
+    from latebird.llm.tokenfiles import read_token_files, write_token_files
+
+    texts = [f"text number {i % 40}" for i in range(400)]
+    docs = make_docs(*[(None, t, "en", "s", 0) for t in texts], (3, "three", "en", "s", 0))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_token_files(docs, str(tmp_path / "ids"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = manifest.collect()
+    assert len(files) > 1 and max(f["n_docs"] for f in files) < 300
+    rows = sorted(read_token_files(spark, manifest).collect(), key=lambda r: r["start"])
+    assert len(rows) == 401 and rows[-1]["doc_id"] == 3
+    assert [r["start"] for r in rows] == np.cumsum([0] + [r["n_tokens"] for r in rows])[:-1].tolist()
