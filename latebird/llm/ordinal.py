@@ -9,7 +9,8 @@ The features of a text are sets: its words, their first 4 and 5 letters, the
 signs at their ends, and the share of distinct words at the text's length, all hashed to
 `BUCKETS`. Features take part if a likelihood-ratio test ties them to the grade.
 The model is fitted on a bounded sample of labelled rows (parameter
-`sample`, by the hash of doc_id) and gives the expected grade and the tail
+`sample`, by the hash of doc_id), in which copies of a text count once, so that
+no held-out text has been fitted, and gives the expected grade and the tail
 probability P(grade >= top), on which documents are selected.
 """
 
@@ -237,6 +238,10 @@ def fit_quality(
 ) -> OrdinalModel:
     """Fit on the `sample` graded documents with the smallest hashes of doc_id.
 
+    Of several texts of a doc_id the one with the smallest hash is the graded one.
+    Copies of a text are one document, that of the smallest doc_id, with the lowest
+    of their grades.
+
     Features are counted by grade on the executors. What comes to the driver is
     the counts of those that are not rare, then the documents' features that are
     tied to the grade: the model is the same as from all features.
@@ -254,15 +259,24 @@ def fit_quality(
                 np.fromiter(sorted(text_features(t.as_py(), memory)), "<i4").tobytes()
                 for t in batch.column(2)
             ]
-            columns = [batch.column(0), batch.column(1), pa.array(found, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "grade", "features"])
+            columns = [batch.column(3), batch.column(0), batch.column(1), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["text_hash", "doc_id", "grade", "features"])
 
     schema = "doc_id long, grade int, features binary"
+    graded_rows = (
+        known.join(F.broadcast(chosen), "doc_id")  # `sample` ids at most
+        .select("doc_id", "grade", "text", F.xxhash64("text").alias("text_hash"))
+        .mapInArrow(featurize, "text_hash long, " + schema)
+    )
+    of_id = graded_rows.groupBy("doc_id").agg(F.min(F.struct("text_hash", "grade", "features")).alias("t"))
     featured = staged(
-        known.join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
-        .select("doc_id", "grade", "text")
-        .mapInArrow(featurize, schema)
-        .dropDuplicates(["doc_id"]),
+        of_id.groupBy("t.text_hash")
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.min("t.grade").alias("grade"),
+            F.min("t.features").alias("features"),
+        )
+        .select("doc_id", "grade", "features"),
         "quality-features",
     )
     ids = featured.select("doc_id", "grade").toArrow().sort_by("doc_id")

@@ -1,8 +1,9 @@
 """Quality rules whose cutoffs carry a guarantee against rejecting good documents.
 
 Four measures of a text can reject it when above a cutoff. Cutoffs are set for
-each stratum (language) on labelled documents that pass the base rules, in two
-halves by the hash of doc_id:
+each stratum (language) on labelled texts that pass the base rules, in two halves
+by the hash of the text. A text counts once, however many documents are copies of
+it, so that the draws of a half differ and no text stands in both:
 
 - On the tuning half, the candidate of each rule is the cutoff from a fixed grid
   that rejects the most bad documents less `GOOD_WEIGHT` times the good ones.
@@ -14,7 +15,7 @@ halves by the hash of doc_id:
   (Bonferroni), and a stratum's risk is divided over its rules.
 
 So with probability 1 - `level`, no stratum loses more than `risk` of its good
-documents. Strata with fewer labels than could pass any test are joined, before
+texts, taken as drawn one by one; near copies, which differ somewhere, count each. Strata with fewer labels than could pass any test are joined, before
 their values are seen; where even that is too few, no cutoff is set.
 """
 
@@ -90,23 +91,26 @@ def measure(text: str) -> tuple[int, ...]:
 
 
 def measured(docs: DataFrame, stratum: Column | None = None) -> DataFrame:
-    """doc_id, stratum and the counts of every row of `docs` (doc_id, text, lang)."""
+    """doc_id, stratum, hash of the text and the counts of every row of `docs` (doc_id, text, lang)."""
     ship_package(docs.sparkSession)
-    names = ["doc_id", "stratum", *_COUNTS]
+    names = ["doc_id", "stratum", "text_hash", *_COUNTS]
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [measure(text.as_py()) for text in batch.column(2)]
+            rows = [measure(text.as_py()) for text in batch.column(3)]
             columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
             if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names)
 
     by = F.col("lang") if stratum is None else stratum
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(by.cast("string"), F.lit("(none)")).alias("stratum"),
+        F.xxhash64(text_or_empty()).alias("text_hash"),
         text_or_empty().alias("text"),
-    ).mapInArrow(count, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in _COUNTS))
+    ).mapInArrow(
+        count, "doc_id long, stratum string, text_hash long, " + ", ".join(f"{c} long" for c in _COUNTS)
+    )
 
 
 def base_failed() -> Column:
@@ -195,13 +199,24 @@ def fit_cutoffs(
 
     What comes to the driver is one count per stratum, rule and grid step.
     Repeated labels of a document count once, the lowest; null ones don't count.
+    Of several texts of a doc_id the one with the smallest hash is the labelled
+    one. Copies of a text count once, with the lowest of their labels and the
+    first of their strata.
     """
     judged = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").alias("quality"))
     )
-    rows = counted.where(~base_failed()).dropDuplicates(["doc_id"]).join(judged, "doc_id")
+    of_text = F.struct("text_hash", "stratum", *_COUNTS)
+    chosen = counted.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(of_text).alias("t"))
+    rows = (
+        chosen.join(judged, "doc_id")
+        .groupBy("t.text_hash")
+        .agg(F.min("t").alias("t"), F.min("quality").alias("quality"))
+        .select("t.*", "quality")
+        .where(~base_failed())
+    )
     exceeded = [
         F.struct(
             F.lit(rule).alias("rule"),
@@ -213,7 +228,7 @@ def fit_cutoffs(
         rows.select(
             "stratum",
             (F.col("quality") > 0).alias("good"),
-            (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("held"),
+            (F.pmod(F.xxhash64("text_hash"), F.lit(2)) == 1).alias("held"),
             F.explode(F.array(*exceeded)).alias("e"),
         )
         .groupBy("stratum", "e.rule", "e.exceeded", "good", "held")
@@ -234,7 +249,8 @@ def apply_quality_rules(
 
     Null text has no words and fails the base rules. A null language is a
     stratum of its own; a null doc_id is judged but never serves as a label's
-    document. Repeated rows give a row each and count once for the cutoffs.
+    document. Repeated rows and copies of a text give a row each and count once
+    for the cutoffs.
     Without labels only the base rules reject. An empty table gives no rows.
     """
     counted = staged(measured(docs), "quality-counts")
@@ -243,4 +259,5 @@ def apply_quality_rules(
         counted.withColumn("base_failed", base_failed())
         .withColumn("rejected_by", F.when(~F.col("base_failed"), cutoffs.verdict()))
         .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
+        .drop("text_hash")
     )

@@ -106,6 +106,20 @@ def test_fit_is_that_of_all_features(make_docs, spark, monkeypatch):
     assert (got.thresholds == want.thresholds).all()
 
 
+def test_copies_are_one_document_of_the_fit(make_docs, spark, monkeypatch):
+    texts = [f"alpha{i} beta{i % 7} gamma" for i in range(40)]
+    docs = [(i, texts[i % 40]) for i in range(4000)] + [(3, "a second text"), (None, texts[0])]
+    grades = [(i, 0 if i == 45 else 2) for i in range(4000)]
+    given = []
+    monkeypatch.setattr(ordinal, "fit_ordinal", lambda *a: given.append(a))
+    frame = spark.createDataFrame(grades, "doc_id long, grade int")
+    for rows in (docs, docs[::-1]):
+        ordinal.fit_quality(make_docs(*rows), frame)
+    chosen = [sorted(g[2].tolist()) for g in given]
+    # Texts by smallest doc_id; doc_id 3 may have either text, the same in both runs.
+    assert chosen[0] == chosen[1] and len(chosen[0]) in (40, 41) and chosen[0].count(0) == 1
+
+
 def test_thresholds_are_ordered():
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, 50, 8)).astype(np.int32) for _ in range(300)]

@@ -1,6 +1,7 @@
 """PII (3), SimHash (5) and quality rules (10) against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 from math import comb
@@ -305,3 +306,45 @@ def test_quality_edges(edge_docs, no_docs, labels, no_labels):
     assert len(got) == edge_docs.count()
     assert all(r["base_failed"] and not r["kept"] for r in got if r["doc_id"] in (1, 2, 6))
     assert quality_rules.apply_quality_rules(no_docs, labels).count() == 0
+
+
+def test_copies_count_once_for_cutoffs(spark, make_docs, monkeypatch):
+    """Each text is in one half, once, whatever its copies; a repeated id has one text in every run."""
+    sentence = " ".join(f"word{j}" for j in range(60))
+    docs = [(i, f"{sentence} {i % 200}") for i in range(4000)] + [(7, "another text " + sentence)] * 3
+    labels = [(i, 1 if i % 200 < 150 else 0) for i in range(4000)]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int")
+    given = []
+    monkeypatch.setattr(quality_rules, "certify", lambda counts, *a: given.append(counts) or None)
+    for rows in (docs, docs[::-1]):
+        quality_rules.fit_cutoffs(quality_rules.measured(make_docs(*rows)), frame)
+    assert given[0] == given[1]
+    of_half = {
+        (good, held): sum(n for (_, rule, _, g, h), n in given[0].items() if (rule, g, h) == ("lines", good, held))
+        for good in (True, False) for held in (True, False)
+    }
+    good = of_half[True, True] + of_half[True, False]
+    # 200 texts, and the other text of doc_id 7 where its hash is the smaller.
+    assert good in (150, 151) and of_half[False, True] + of_half[False, False] == 50
+    assert 50 < of_half[True, True] < 100
+
+
+def test_error_rate_holds_with_copies(spark, make_docs):
+    """A rule that rejects too many good texts is seldom certified, also with 100 copies of each."""
+    rng = random.Random(11)
+    words = " ".join(f"w{j}" for j in range(80))
+    broken = 0
+    for trial in range(6):
+        docs, labels, number = [], [], 0
+        for t in range(240):
+            good = t < 160
+            noisy = rng.random() < (0.03 if good else 0.9)  # allowed: 0.05 / 4 = 0.0125
+            text = f"{words} t{trial}x{t}" + (" #" * 60 if noisy else "")
+            for _ in range(100 if good else 1):
+                docs.append((number, text))
+                labels.append((number, int(good)))
+                number += 1
+        frame = spark.createDataFrame(labels, "doc_id long, quality int")
+        cuts = quality_rules.fit_cutoffs(quality_rules.measured(make_docs(*docs)), frame)
+        broken += any("symbols" in rules for rules in cuts.by_stratum.values())
+    assert broken == 0
