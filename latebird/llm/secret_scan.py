@@ -13,6 +13,9 @@ documents. The forest is fitted on a bounded sample of labelled findings.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -26,14 +29,17 @@ _SIGN = "A-Za-z0-9_+/="
 #: A run of token signs (and hyphens within) with a digit, of at least 16 signs.
 RUN = rf"(?<![{_SIGN}-])(?=[A-Za-z_+/=-]*+[0-9])[{_SIGN}-]{{16,}}+"
 NAMES = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer"
-_NAMED = rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}"
+#: Parts of NAMES in lower case: a text without any of them has no named value.
+NAME_PARTS = ("token", "secret", "pass", "pwd", "key", "auth", "bearer")
+#: A name and a sign of assignment, with any blanks around it and one line break behind it.
+_NAMED = rf"(?i)(?:{NAMES})[\"']?[ \t]*+[=:][ \t]*+(?:\r?\n[ \t]*+)?+"
+#: Signs within quotes, of one line. An apostrophe between letters closes no quote.
+_IN_DOUBLE = r"""(?:[^"\\\r\n]|\\[^\r\n])"""
+_IN_SINGLE = r"""(?:[^'\\\r\n]|\\[^\r\n]|(?<=[A-Za-z])'(?=[A-Za-z]))"""
 #: A quoted value behind a name and a sign of assignment, up to its closing quote. It is
 #: looked at ahead, so that a quote closed late hides no other value.
-QUOTED = (
-    _NAMED
-    + r"""["'](?=((?<=")(?:[^"\\]|\\[\s\S]){6,}+(?=")|(?<=')(?:[^'\\]|\\[\s\S]){6,}+(?=')))"""
-)
-_UNCLOSED = r"""(?:"(?!(?:[^"\\\r\n]|\\[^\r\n])*+")|'(?!(?:[^'\\\r\n]|\\[^\r\n])*+')|(?!["']))"""
+QUOTED = _NAMED + rf"""["'](?=((?<="){_IN_DOUBLE}{{6,}}+(?=")|(?<='){_IN_SINGLE}{{6,}}+(?=')))"""
+_UNCLOSED = rf"""(?:"(?!{_IN_DOUBLE}*+")|'(?!{_IN_SINGLE}*+')|(?!["']))"""
 #: One without quotes, or with a quote that its line does not close: up to white space,
 #: without the marks at its end where six signs are left.
 UNQUOTED = _NAMED + _UNCLOSED + r"""(\S{5,}[^\s.,;:"')\]}>]|\S{6,}+)"""
@@ -70,6 +76,7 @@ FEATURES = (
     "previous_length",
     "next_length",
     "capital_before",
+    "blanks",
 )
 
 
@@ -97,6 +104,15 @@ def _places(pattern: str, ahead: bool = False) -> Column:
     )
 
 
+def _named_places() -> Column:
+    """The places of values assigned to a name, looked for only where a part of a name stands."""
+    names = F.transform(
+        F.array(F.lower("text")), lambda t: reduce(or_, (F.contains(t, F.lit(n)) for n in NAME_PARTS))
+    )[0]
+    found = F.concat(_places(QUOTED, ahead=True), _places(UNQUOTED), _places(PAIRED))
+    return F.when(names, found).otherwise(F.array().cast("array<struct<start:int,candidate:string>>"))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """(row, doc_id, source, text_hash, candidate, start, before, after): each distinct candidate
     of a text with each distinct surrounding it is found in; the first place where
@@ -104,7 +120,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     the candidates of one row; it holds once they are written."""
     # Places as strings, which are made distinct by hash: two lengths, then the signs around.
     window = F.transform(
-        F.concat(_places(f"({RUN})"), _places(QUOTED, ahead=True), _places(UNQUOTED), _places(PAIRED)),
+        F.concat(_places(f"({RUN})"), _named_places()),
         lambda c: F.concat_ws(
             ":",
             F.least(F.lit(AROUND), c["start"] - 1).cast("string"),
@@ -204,6 +220,7 @@ def featured(docs: DataFrame, found: DataFrame) -> DataFrame:
                 "previous_length": flag(word_length("before", r"(\w+)\W*$")),
                 "next_length": flag(word_length("after", r"^\W*(\w+)")),
                 "capital_before": flag(F.col("before").rlike(r"\b[A-Z]\w*\W*$")),
+                "blanks": share(r"\s"),
             }
         )
         .drop("covered")
@@ -221,30 +238,33 @@ def labelled_by_rule() -> Column:
     )
 
 
-#: Two labelled findings of each kind that every fit holds, so that it always knows
-#: both: features in the order of FEATURES, then the label.
+#: Two labelled findings of each kind, for a fit whose labels lack the kind: features
+#: in the order of FEATURES, then the label.
 ANCHORS = (
-    (40, 0.6, 0, 1, 0, 0.4, 0.5, 0.05, 0, 0, 0, 0.01, 1, 1, 1, 5, 5, 0, 1.0),
-    (32, 0.3, 0.3, 0, 0, 0.7, 0.5, 0.1, 0, 0, 0, 0.01, 1, 1, 0, 5, 5, 0, 1.0),
-    (16, 1, 0, 1, 1, 0.5, 0, 0, 0, 0, 0, 0.01, 0, 0, 0, 5, 5, 0, 0.0),
-    (24, 0.1, 0.1, 0, 0, 0.5, 0.1, 0.5, 0.9, 0.1, 1, 0.01, 0, 0, 0, 5, 5, 0, 0.0),
+    (40, 0.6, 0, 1, 0, 0.4, 0.5, 0.05, 0, 0, 0, 0.01, 1, 1, 1, 5, 5, 0, 0, 1.0),
+    (32, 0.3, 0.3, 0, 0, 0.7, 0.5, 0.1, 0, 0, 0, 0.01, 1, 1, 0, 5, 5, 0, 0, 1.0),
+    (16, 1, 0, 1, 1, 0.5, 0, 0, 0, 0, 0, 0.01, 0, 0, 0, 5, 5, 0, 0, 0.0),
+    (24, 0.1, 0.1, 0, 0, 0.5, 0.1, 0.5, 0.9, 0.1, 1, 0.01, 0, 0, 0, 5, 5, 0, 0, 0.0),
 )
 
 
 def fit_forest(rows: DataFrame, label: Column, sample: int = SAMPLE):
-    """A forest on the `sample` labelled rows with the smallest hashes."""
-    labelled = (
+    """A forest on the `sample` labelled rows with the smallest hashes. A kind that no
+    row has is stood in for by its ANCHORS."""
+    labelled = staged(
         rows.withColumn("label", label)
         .where("label IS NOT NULL")
         .orderBy(F.xxhash64("doc_id", "candidate"), "doc_id", "candidate", "before", "after")
         .limit(sample)
-        .select(*FEATURES, "label")
+        .select(*FEATURES, "label"),
+        "findings",
     )
     values = ", ".join("(" + ", ".join(f"{float(v)!r}D" for v in a) + ")" for a in ANCHORS)
     anchors = rows.sparkSession.sql(
         f"SELECT * FROM VALUES {values} AS t({', '.join(FEATURES)}, label)"
     )
-    training = staged(labelled.unionByName(anchors), "findings")
+    known = [r["label"] for r in labelled.select("label").distinct().collect()]  # two at most
+    training = labelled.unionByName(anchors.where(~F.col("label").isin(known)))
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol="label",

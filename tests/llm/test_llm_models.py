@@ -239,6 +239,50 @@ def test_long_texts_of_assignments_end(make_docs):
     assert secret_scan.candidates(docs).count() >= 2
 
 
+PROSE = "the password: 'tis said of old, in 1850, that the keepers of the gate asked each traveller until they don't"
+
+
+def test_prose_is_no_secret(make_docs):
+    """Quotes end with their line, and an apostrophe between letters is none."""
+    known = [(i, f'token = "{i:02x}{HEX[2:]}" and 4111111111111{i:03d}') for i in range(60)]
+    prose = [
+        (100, PROSE),
+        (101, "the secret: 'tis 1850 out there\n" + "and so the tale goes on, in 1851 too\n" * 20 + "the end' he said"),
+        (102, 'he said "token": "a thing of old, said the keeper\nin 1850 to 1852" and left'),
+    ]
+    docs = make_docs(*known, *prose)
+    got = secret_scan.scan_secrets(docs).collect()
+    assert {r["doc_id"] for r in got if r["is_secret"]} == set(range(60))
+    assert all(len(r["candidate"]) < 30 for r in got if r["doc_id"] >= 100)
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redact_secrets(docs).where("doc_id >= 100").collect()}
+    assert out == dict(prose)
+
+
+def test_aligned_and_quoted_values_are_whole(make_docs):
+    values = {
+        1: ("password              = hunter2x$K77qv", "hunter2x$K77qv"),
+        2: ("api_key\t\t:\t\t\t\t\tab12$cd34", "ab12$cd34"),
+        3: ("secret:\n      q1w2e3r4t5", "q1w2e3r4t5"),
+        4: ("pwd = 'it's1a2b3c4d' rest", "it's1a2b3c4d"),
+        5: ("token = '12ab34cd'x more", "12ab34cd'x"),
+        6: ('auth = "a\\"b1c2d3" rest', 'a\\"b1c2d3'),
+        7: ("TOKEN='x1y2z3w4", "x1y2z3w4"),
+    }
+    got = secret_scan.candidates(make_docs(*[(i, t) for i, (t, _) in values.items()])).collect()
+    found = {i: {r["candidate"] for r in got if r["doc_id"] == i} for i in values}
+    assert {i for i, (_, want) in values.items() if want not in found[i]} == set(), found
+
+
+def test_anchors_stand_in_for_a_missing_kind(make_docs):
+    docs = make_docs(*[(i, f"key {HEX[:16]}{i:04d} and {i:04d}ABCDEFGHIJKLMNOP9") for i in range(20)])
+    rows = secret_scan.featured(docs, secret_scan.candidates(docs))
+    kinds = {}
+    for name, label in (("both", F.col("candidate").contains("ABC").cast("double")), ("one", F.lit(0.0))):
+        fitted = secret_scan.fit_forest(rows, label)
+        kinds[name] = fitted.stages[1].numClasses
+    assert kinds == {"both": 2, "one": 2}
+
+
 def test_findings_train_the_forest(spark, make_docs):
     docs = make_docs(*[(i, f"id {HEX[:16]}{i:04d} word, key {i:04d}ABCDEFGHIJKLMNOP9 end") for i in range(40)])
     labels = [(i, f"{HEX[:16]}{i:04d}", 0.0) for i in range(30)]
