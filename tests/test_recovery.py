@@ -76,7 +76,7 @@ def test_boosting_writes_checkpoints(spark, encoded):
     assert len(seen) >= 2
 
 
-def test_intervals_follow_the_longest_point():
+def test_intervals_follow_the_longest_point(spark):
     def settings(estimator, **values):
         made = training.recoverable(estimator, training.param_grid(estimator, values) if values else [{}])
         return made.getCheckpointInterval(), made.getCacheNodeIds()
