@@ -425,6 +425,39 @@ def test_search_matches_brute_force(spark, monkeypatch):
     assert search(spark, rows) == brute_top([r[:2] for r in rows], 5)
 
 
+def test_rows_are_sent_where_they_are_long_enough(spark, monkeypatch):
+    for name, value in (("CHUNK", 4), ("SLAB", 50), ("HEAD", 32)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(1000, 8)) * rng.lognormal(sigma=1.5, size=(1000, 1))
+    vectors[700:] /= np.sqrt((vectors[700:] ** 2).sum(axis=1, keepdims=True))  # one band of many
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(vectors)]
+    sent = []
+    plain = topk.blocks
+
+    def counted(asked, given):
+        pair = plain(asked, given)
+        norms = [r["norm"] for r in given.select("norm").collect()]
+        needs = [r["need"] for r in asked.select("need").collect()]
+        sent.append((pair[1].count(), pair[1].select("chunk").distinct().count(), len(norms)))
+        met = pair[0].select("row", "chunk", "slab", "need")
+        together = met.join(pair[1].select(F.col("row").alias("other"), "chunk", "slab", "norm"), ["chunk", "slab"])
+        pairs = together.where("norm >= need")
+        assert pairs.count() == pairs.distinct().count() == sum(c >= n for n in needs for c in norms)
+        return pair
+
+    monkeypatch.setattr(topk, "blocks", counted)
+    assert search(spark, rows) == brute_top([r[:2] for r in rows], 5)
+    rows_sent, chunks, n = sent[0]
+    assert chunks > 1 and rows_sent < 0.5 * chunks * n
+
+
+def test_search_ends_on_too_wide_vectors(spark):
+    frame = spark.createDataFrame([(0, [1.0] * 9)], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="9 components"):
+        topk.exact_top_k(frame, F.col("vec_id") % 50 == 0, most_width=8)
+
+
 def test_search_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
@@ -434,6 +467,8 @@ def test_search_edges(spark):
     ]
     assert search(spark, rows) == brute_top([r[:2] for r in rows], 5)
     assert search(spark, rows[:1]) == []
+    short = [(0, [], 1), (50, [], 1), (3, [], 1)]
+    assert search(spark, short) == brute_top([r[:2] for r in short], 5)
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.exact_top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
 
