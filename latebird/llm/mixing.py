@@ -3,7 +3,11 @@
 Tokens are counted by cell (source, language, topic). Iterative proportional
 fitting scales the cells' weights in turn to the target share of each source,
 each language and each topic. All of it is window functions over the cell table,
-whose size is the number of combinations that occur, not of documents.
+whose size is the number of combinations that occur, not of documents. After every
+few rounds the marginals are measured, and the fitting ends when each is at its
+target up to a tolerance. Targets that no weights can meet, because combinations
+are missing, are approached only: the fitting then ends after a stated number of
+rounds with a warning that says how far off it is.
 
 A dimension's target is the observed share to a power below 1 (which lifts rare
 values), or a given weight for named values; both are normalised to sum to 1.
@@ -16,6 +20,7 @@ has. The draw is a hash of doc_id, so it can be repeated.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -25,14 +30,17 @@ from pyspark.sql import functions as F
 from latebird.llm.common import staged, unused_name
 
 NONE = "(none)"
-#: Rounds of fitting, and how many of them make one written step.
-ROUNDS = 20
+#: Rounds of fitting that make one written step, after which the marginals are measured.
 ROUNDS_A_STEP = 5
+#: Rounds in the check SQL, which can't measure.
+CHECK_ROUNDS = 20
 
 
 @dataclass(frozen=True)
 class Mix:
-    """Targets and budget: powers by dimension, weights of named values, share of all tokens."""
+    """Targets and budget: powers by dimension, weights of named values, share of all
+    tokens; the largest deviation of a marginal, as a share of its target, with which
+    the fitting ends, and the rounds after which it ends in any case."""
 
     powers: Mapping[str, float] = field(
         default_factory=lambda: {"source": 0.5, "lang": 0.7, "topic": 0.8}
@@ -40,6 +48,8 @@ class Mix:
     weights: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     budget: float = 0.5
     seed: int = 7
+    tolerance: float = 1e-9
+    most_rounds: int = 1_000
 
 
 #: The same expressions in Spark and in the check SQL.
@@ -93,18 +103,27 @@ def fit_cells(cells: DataFrame, mix: Mix = Mix()) -> DataFrame:
             for d in names
         }
     )
-    for first in range(0, ROUNDS, ROUNDS_A_STEP):
-        for _ in range(min(ROUNDS_A_STEP, ROUNDS - first)):
+    # A value of target 0 has no weight from the first round on.
+    ratio = lambda a, b: F.try_divide(a, b)
+    for done in range(ROUNDS_A_STEP, mix.most_rounds + ROUNDS_A_STEP, ROUNDS_A_STEP):
+        for _ in range(ROUNDS_A_STEP):
             for d in names:
-                scale = F.col(f"target_{d}") / F.sum("weight").over(by[d])
-                one = one.withColumn("weight", F.col("weight") * scale)
+                scale = ratio(F.col(f"target_{d}"), F.sum("weight").over(by[d]))
+                one = one.withColumn("weight", F.col("weight") * F.coalesce(scale, F.lit(0.0)))
         one = staged(one, "cells").coalesce(1)
+        off = [F.abs(ratio(F.sum("weight").over(by[d]), F.col(f"target_{d}")) - 1) for d in names]
+        worst = one.select(F.array_max(F.array(*off)).alias("off")).agg(F.max("off")).first()[0]
+        if worst is None or worst <= mix.tolerance:
+            break
+    else:
+        warnings.warn(f"marginals are off by up to {worst:.2g} after {done} rounds", stacklevel=2)
     one = one.withColumn("rate", F.col("weight") / F.col("share"))
     order = Window.partitionBy(F.lit(1)).orderBy(F.desc("rate"), *names)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     sum_before = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0.0))
-    left = (F.lit(float(mix.budget)) - sum_before("share")) / (
-        F.sum("weight").over(everything) - sum_before("weight")
+    left = ratio(
+        F.lit(float(mix.budget)) - sum_before("share"),
+        F.sum("weight").over(everything) - sum_before("weight"),
     )
     one = one.withColumn("scale_here", left)
     # Cells from the highest rate on give all they have while the scale would pass 1.
@@ -113,6 +132,7 @@ def fit_cells(cells: DataFrame, mix: Mix = Mix()) -> DataFrame:
         order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ))
     p = F.least(F.lit(1.0), F.coalesce(F.col("scale") * F.col("rate"), F.lit(1.0)))
+    p = F.when(F.col("rate") == 0, 0.0).otherwise(p)
     return one.select(*names, "tokens", "share", "weight", p.alias("probability"))
 
 
@@ -145,7 +165,8 @@ def sample_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     A null source or language is a value of its own; null text is topic
     "(none)" of no tokens. Documents without words have no tokens to mix and
     are not sampled. Rows with one doc_id are drawn together, and of those with
-    a null one the rows with one text. An empty table gives no rows.
+    a null one the rows with one text. A value whose weight is 0 gives none.
+    An empty table gives no rows.
     """
     marked, names = _marked(docs, mix)
     tokens = names.pop("tokens")
@@ -183,7 +204,7 @@ def check_sql(mix: Mix = Mix()) -> str:
         + " FROM raw)",
     ]
     n = 0
-    for _ in range(ROUNDS):
+    for _ in range(CHECK_ROUNDS):
         for d in names:
             steps.append(
                 f"fit{n + 1} AS (SELECT * REPLACE "

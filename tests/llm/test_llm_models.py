@@ -42,6 +42,34 @@ def test_raked_weights_meet_the_targets(spark):
     assert max(r["probability"] for r in got) == 1.0
 
 
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    cells = [("a", "x", 100_000), ("a", "y", 1), ("b", "x", 1), ("b", "y", 100_000)]
+    frame = spark.createDataFrame(cells, "source string, lang string, tokens long")
+    powers = {"source": 1.0, "lang": 1.0}
+    weights = {"source": {"a": 0.53, "b": 0.47}, "lang": {"x": 0.5, "y": 0.5}}
+    got = mixing.fit_cells(frame, mixing.Mix(powers=powers, weights=weights)).collect()
+    for d, value, target in (("source", "a", 0.53), ("lang", "x", 0.5)):
+        assert sum(r["weight"] for r in got if r[d] == value) == pytest.approx(target, rel=2e-9)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    cells = [("a", "x", 10), ("b", "y", 10)]  # tied: source and language cannot differ
+    frame = spark.createDataFrame(cells, "source string, lang string, tokens long")
+    weights = {"source": {"a": 0.7, "b": 0.3}, "lang": {"x": 0.4, "y": 0.6}}
+    mix = mixing.Mix(powers={"source": 1.0, "lang": 1.0}, weights=weights, most_rounds=10)
+    with pytest.warns(UserWarning, match="off by up to 1 after 10 rounds"):
+        got = mixing.fit_cells(frame, mix).collect()
+    assert sum(r["share"] * r["probability"] for r in got) == pytest.approx(0.5)
+
+
+def test_a_weight_of_nothing_gives_nothing(spark):
+    cells = [("a", "x", 10), ("a", "y", 30), ("b", "x", 20), ("b", "y", 40)]
+    frame = spark.createDataFrame(cells, "source string, lang string, tokens long")
+    mix = mixing.Mix(powers={"source": 1.0, "lang": 1.0}, weights={"lang": {"x": 0.0, "y": 1.0}}, budget=0.9)
+    got = {(r["source"], r["lang"]): r["probability"] for r in mixing.fit_cells(frame, mix).collect()}
+    assert got["a", "x"] == got["b", "x"] == 0.0 and got["a", "y"] == got["b", "y"] == 1.0
+
+
 def test_mixing_edges(edge_docs, no_docs):
     kept = mixing.sample_mix(edge_docs, mixing.Mix(budget=1.0))
     assert Counter(r["doc_id"] for r in kept.select("doc_id").collect()) == Counter(
