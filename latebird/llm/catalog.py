@@ -30,9 +30,11 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 @query("op6_vector_packing")
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from latebird.llm.packing import Limits, pack_documents
+    from latebird.llm.packing import Limits, first_line, pack_documents
 
-    pieces = pack_documents(table(spark, sf_dir, "documents"), Limits(tokens=2048))
+    # A document's first line is its prompt; the rest of it bears loss.
+    limits = Limits(tokens=2048, segments=256, loss_tokens=1920)
+    pieces = pack_documents(table(spark, sf_dir, "documents"), limits, prompt=first_line())
     return pieces.select(
         "doc_id",
         "start",

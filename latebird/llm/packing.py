@@ -1,6 +1,6 @@
 """Vector bin packing of examples into training sequences.
 
-An example is a run of token ids; from `loss_from` on its ids bear loss. A
+An example is a run of token ids; what comes after its prompt bears loss. A
 sequence is a bin with three limits at once: tokens, segments (pieces) and
 loss-bearing tokens. Bins are filled one at a time. Of the pieces that fit, the
 one goes in whose demand has the largest dot product with what the bin has left,
@@ -69,10 +69,14 @@ class Piece:
         end = self.start + (self.length if length is None else length)
         return max(0, end - max(self.start, self.loss_from))
 
+    @property
+    def lead(self) -> int:
+        """How many leading ids bear no loss."""
+        return min(self.length, max(0, self.loss_from - self.start))
+
     def longest(self, tokens: int, loss: int) -> int:
         """The most leading ids that keep within `tokens` and `loss`."""
-        free = max(0, self.loss_from - self.start)
-        return min(self.length, tokens, free + loss)
+        return min(self.length, tokens, self.lead + loss)
 
     def cut(self, length: int) -> tuple[Piece, Piece]:
         head = Piece(self.doc_id, self.start, self.ids[: 4 * length], self.doc_tokens, self.loss_from)
@@ -90,6 +94,7 @@ class Packer:
         self._pieces: list[Piece | None] = [None] * pool
         self._tokens = np.zeros(pool, np.int64)  # 0: the place is free
         self._loss = np.zeros(pool, np.int64)
+        self._lead = np.zeros(pool, np.int64)  # leading ids without loss
         self._free = list(range(pool - 1, -1, -1))
 
     def add(self, piece: Piece) -> Iterator[list[Piece]]:
@@ -122,6 +127,7 @@ class Packer:
         self._pieces[place] = piece
         self._tokens[place] = piece.length if piece else 0
         self._loss[place] = piece.loss() if piece else 0
+        self._lead[place] = piece.lead if piece else 0
         if piece is None:
             self._free.append(place)
 
@@ -143,18 +149,12 @@ class Packer:
                 piece = self._pieces[place]
                 self._set(place, None)
             else:
-                piece = None
-                for place in np.argsort(-np.where(open_, dots, -1.0), kind="stable"):
-                    candidate = self._pieces[place]
-                    if candidate is None:
-                        break
-                    fits = candidate.longest(tokens, loss)
-                    if fits:
-                        piece, rest = candidate.cut(fits)
-                        self._set(int(place), rest if rest.length else None)
-                        break
-                if piece is None:
+                fits = np.minimum(np.minimum(self._tokens, tokens), self._lead + loss)
+                place = int(np.argmax(np.where(fits > 0, dots, -1.0)))
+                if fits[place] <= 0:
                     break  # only loss-bearing ids are left, and no loss fits any more
+                piece, rest = self._pieces[place].cut(int(fits[place]))
+                self._set(place, rest if rest.length else None)
             taken.append(piece)
             tokens, segments, loss = tokens - piece.length, segments - 1, loss - piece.loss()
         return taken
@@ -182,24 +182,38 @@ def powers_of_two(pieces: list[Piece]) -> Iterator[list[Piece]]:
         yield taken
 
 
+def first_line() -> Column:
+    """The prompt of a plain document: its text up to the first line end, without
+    blanks before that; empty where no line ends."""
+    text = text_or_empty()
+    line = F.rtrim(F.substring_index(text, "\n", 1), F.lit(" \t\r\v\f"))
+    return F.when(F.contains(text, F.lit("\n")), line).otherwise(F.lit(""))
+
+
 def pack_documents(
     docs: DataFrame,
     limits: Limits = Limits(),
     tokenizer_name: str = "byte_bpe_50k.json",
     end_id: int | None = 1,
     loss_from: Column | None = None,
+    prompt: Column | None = None,
 ) -> DataFrame:
     """Pack `docs` (doc_id, text) into sequences; one row per piece, with its ids.
 
     `loss_from`: the first loss-bearing id of a document (an instruction's
-    prompt length); by default and where null every id bears loss. Sequence
+    prompt length). Or `prompt`: the text at a document's beginning whose ids, as
+    many as it has by itself, bear no loss. By default and where null every id
+    bears loss. Sequence
     lengths are `limits.tokens` or a power of two: a bin that another limit
     closes early is split so. Null text is empty: the document has its end
     id alone (without an end id, no piece). A null doc_id stays null; repeated
     rows are packed each for itself; other columns are left out; an empty table
     gives an empty result. `sequence_id` is unique, not gapless.
     """
+    if loss_from is not None and prompt is not None:
+        raise ValueError("give loss_from or prompt, not both")
     ship_package(docs.sparkSession)
+    by_prompt = prompt is not None
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(tokenizer_name).rows
@@ -207,8 +221,9 @@ def pack_documents(
         packer = Packer(limits)
         out = _Rows(TaskContext.get().partitionId() << TASK_BITS)
         for batch in batches:
-            columns = (batch.column(0).to_pylist(), batch.column(2).to_pylist())
-            for doc_id, first, own in zip(*columns, encode(batch.column(1))):
+            before = batch.column(2)
+            firsts = [len(ids) for ids in encode(before)] if by_prompt else before.to_pylist()
+            for doc_id, first, own in zip(batch.column(0).to_pylist(), firsts, encode(batch.column(1))):
                 ids = memoryview(own.tobytes() + end)
                 piece = Piece(doc_id, 0, ids, len(ids) // 4, first)
                 for sequence in packer.add(piece):
@@ -217,11 +232,15 @@ def pack_documents(
             yield from out.add(sequence)
         yield from out.flush()
 
-    first = F.lit(0) if loss_from is None else F.coalesce(loss_from, F.lit(0))
+    if by_prompt:
+        before = F.coalesce(prompt.cast("string"), F.lit(""))
+    else:
+        before = F.lit(0) if loss_from is None else F.coalesce(loss_from, F.lit(0))
+        before = F.greatest(before, F.lit(0)).cast("long")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_or_empty().alias("text"),
-        F.greatest(first, F.lit(0)).cast("long").alias("loss_from"),
+        before.alias("before"),
     ).mapInArrow(pack, PIECES_SCHEMA)
 
 

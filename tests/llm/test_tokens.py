@@ -8,10 +8,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from latebird.llm import catalog, tokenfiles
-from latebird.llm.packing import Limits, Packer, Piece, pack_documents
+from latebird.llm.packing import Limits, Packer, Piece, first_line, pack_documents
 from latebird.llm.tokenfiles import (
     TokenFile,
     TokenFileWriter,
@@ -155,6 +156,19 @@ def test_packing_query(spark, small_dir, rows):
         assert p["ids_crc32"] == zlib.crc32(ids.tobytes())
         at[p["doc_id"]] = p["start"] + p["length"]
     assert at == {k: len(v) for k, v in expected.items()}
+    prompts = [(r[1] or "").partition("\n") for r in rows]
+    prompts = [line.rstrip(" \t\r\v\f") if end else "" for line, end, _ in prompts]
+    before = dict(zip([r[0] for r in rows], [len(x) - 1 for x in whole(NAMES[0], prompts, 1)]))
+    in_sequence = {}
+    for p in got:
+        n = p["start"] + p["length"] - max(p["start"], before[p["doc_id"]])
+        assert p["loss_tokens"] == max(0, n)
+        tokens, loss = in_sequence.get(p["sequence_id"], (0, 0))
+        in_sequence[p["sequence_id"]] = (tokens + p["length"], loss + p["loss_tokens"])
+    assert max(loss for _, loss in in_sequence.values()) == 1920  # the limit binds
+    assert all(n == 2048 or n & (n - 1) == 0 for n, _ in in_sequence.values())
+    full = sum(n for n, _ in in_sequence.values() if n == 2048)
+    assert full > 0.8 * sum(n for n, _ in in_sequence.values())
 
 
 def test_packing_has_no_padding(spark, documents, rows):
@@ -165,8 +179,6 @@ def test_packing_has_no_padding(spark, documents, rows):
 
 
 def test_packing_under_three_limits(spark, documents, rows):
-    from pyspark.sql import functions as F
-
     limits = Limits(tokens=256, segments=3, loss_tokens=100)
     expected = dict(zip([r[0] for r in rows], whole(NAMES[0], [r[1] for r in rows], 1)))
     packed = pack_documents(documents, limits, loss_from=F.col("doc_id") % 400).collect()
@@ -174,6 +186,19 @@ def test_packing_under_three_limits(spark, documents, rows):
     assert all(n == 256 or n & (n - 1) == 0 for n in lengths)
 
 
+def test_packing_by_prompts(spark):
+    texts = ["ask \nanswer\nmore", "no line", None, "\nblank line first", "x" * 50 + "\n"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed = pack_documents(frame, Limits(tokens=64, loss_tokens=8), prompt=first_line()).collect()
+    got = {}
+    for p in packed:
+        got[p["doc_id"]] = got.get(p["doc_id"], 0) + p["length"] - p["loss_tokens"]
+    prompts = ["ask", "", "", "", "x" * 50]
+    assert got == {i: len(ids) - 1 for i, ids in enumerate(whole(NAMES[0], prompts, 1))}
+    with pytest.raises(ValueError, match="not both"):
+        pack_documents(frame, loss_from=F.lit(1), prompt=first_line())
+
+
 def test_packing_edges(edge_docs, no_docs):
     counts = {}
     for p in pack_documents(edge_docs).collect():
