@@ -47,7 +47,7 @@ def test_raking_goes_on_until_the_targets_are_met(spark):
     frame = spark.createDataFrame(cells, "source string, lang string, tokens long")
     powers = {"source": 1.0, "lang": 1.0}
     weights = {"source": {"a": 0.53, "b": 0.47}, "lang": {"x": 0.5, "y": 0.5}}
-    got = mixing.fit_cells(frame, mixing.Mix(powers=powers, weights=weights)).collect()
+    got = mixing.fit_cells(frame, mixing.Mix(powers=powers, weights=weights, most_rounds=1_000)).collect()
     for d, value, target in (("source", "a", 0.53), ("lang", "x", 0.5)):
         assert sum(r["weight"] for r in got if r[d] == value) == pytest.approx(target, rel=2e-9)
 
