@@ -95,6 +95,17 @@ def test_links_lose_no_component(spark, monkeypatch, run):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_stars_of_paths_and_hubs(spark):
+    rng = np.random.default_rng(3)
+    path, hub = rng.permutation(150), 1000 + rng.permutation(200)
+    edges = [*zip(path[:-1], path[1:]), *((hub[0], x) for x in hub[1:]), (5001, 5000), (5001, 5000)]
+    rows = [(int(max(e)), int(min(e))) for e in edges]
+    got = stars(spark.createDataFrame(rows, "a long, b long")).collect()
+    expected = [(i, 0) for i in range(1, 150)] + [(i, 1000) for i in range(1001, 1200)] + [(5001, 5000)]
+    assert sorted(map(tuple, got)) == expected
+    assert stars(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_pigeonring_chains():
     """Every pair within distance 4 has a chain that starts with 0 and at most 1."""
     rng = np.random.default_rng(2)
