@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from latebird.llm.common import staged, table
 from latebird.llm.mixing import Mix, sample_mix
 from latebird.llm.ordinal import select_documents
-from latebird.llm.packing import Limits, pack_documents
+from latebird.llm.packing import Limits, first_line, pack_documents
 from latebird.llm.secret_scan import redact_secrets
 from latebird.llm.simhash import drop_near_copies
 
@@ -41,8 +41,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the training sequences, with their token ids."""
-    return pack_documents(docs, Limits(tokens=2048))
+    """The pieces of the training sequences, with their token ids; a document's
+    first line is its prompt, which bears no loss."""
+    return pack_documents(docs, Limits(tokens=2048, loss_tokens=1920), prompt=first_line())
 
 
 STAGES = [
