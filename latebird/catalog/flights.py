@@ -8,6 +8,8 @@ real flights.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 
 from latebird.functions.bucket import bucket, share_of_buckets
@@ -59,6 +61,9 @@ FROM m
 
 _staged: dict[tuple[str, str], DataFrame] = {}
 
+#: Whole flights that one task reads: some 170 MB as rows.
+ROWS_A_TASK = 500_000
+
 
 def derive_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _PARTS.replace("{dow}", "extract(DAYOFWEEK_ISO FROM l_shipdate)")
@@ -74,13 +79,15 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     Real flights are a stored table. Reading one keeps the queries' plans about
     the queries: filters and column lists reach the scan, where over the long
     expressions above they would be multiplied into methods that the JVM
-    refuses to compile.
+    refuses to compile. It is written as `lineitem` is read, without a shuffle, in
+    files of as many rows as a task can sort in memory, and at least one a core.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
         derived = derive_flights(spark, sf_dir)
-        derived = derived.repartition(spark.sparkContext.defaultParallelism)
-        _staged[key], path = stage_table(derived, "flights")
+        total = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()  # read from the footers
+        share = ceil(total / spark.sparkContext.defaultParallelism)
+        _staged[key], path = stage_table(derived, "flights", rows=min(max(share, 1), ROWS_A_TASK))
         drop_at_exit(spark, path)
     return _staged[key]
 

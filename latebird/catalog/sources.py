@@ -1,5 +1,5 @@
 """Queries: CSV reading. The flights are written as headed CSV with `NA` for
-null, in the shared folder, once per session and data directory."""
+null, in the shared folder, once per session and data directory, one file a core."""
 
 from __future__ import annotations
 
@@ -23,7 +23,7 @@ def _csv_dir(spark, sf_dir) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = scratch_path(spark, "flights-csv")
-        write_flights_csv(flights(spark, sf_dir), path)
+        write_flights_csv(flights(spark, sf_dir).coalesce(spark.sparkContext.defaultParallelism), path)
         drop_at_exit(spark, path)
         _written[key] = path
     return _written[key]
