@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from latebird.catalog import flights as flight_table
+from latebird.plans import training
+from latebird.plans.recipes import COMPACT
 from latebird.session import drop_staged, stage_table
 
 LINE = [
@@ -55,3 +57,20 @@ def test_flights_are_staged_as_they_are_read(spark, lineitem_dir, monkeypatch):
 def test_flights_of_an_empty_table(spark, tmp_path):
     spark.range(0).selectExpr(*LINE).write.parquet(str(tmp_path / "lineitem.parquet"))
     assert flight_table.flights(spark, str(tmp_path)).isEmpty()
+
+
+def test_a_fits_tasks_keep_so_many_rows(make_flights, monkeypatch):
+    monkeypatch.setattr(training, "ROWS_A_TASK", 20)
+    flights = make_flights(*[{"FlightNum": i, "DepDelay": i % 30} for i in range(100)]).coalesce(1)
+    rows, path = training.stage_folds(flights, COMPACT, 2)
+    assert max(_rows_by_task(rows)) <= 20 and rows.count() == 100
+    drop_staged(flights.sparkSession, path)
+    seen = []
+
+    class Tree(type(training.decision_tree())):
+        def fit(self, dataset, params=None):
+            seen.append(max(_rows_by_task(dataset)))
+            return super().fit(dataset, params)
+
+    training.train_model(flights, Tree(labelCol="ArrDelay", maxDepth=1), COMPACT)
+    assert seen == [20]
