@@ -21,9 +21,15 @@ from latebird.sources.flights import NULL_TOKEN
 LATTICE: tuple[T.DataType, ...] = (T.NullType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType())
 
 
+#: How every text begins that casts to a number: blanks and control characters,
+#: which casts trim, a sign, then a digit, a point, or a name of a double.
+_NUMBER_BEGINS = r"^[\x00-\x20\x7F]*[+-]?([0-9.]|[nN][aA][nN]|[iI][nN][fF])"
+
+
 def _place(cell: Column) -> Column:
-    """The place in the lattice of the narrowest type that holds a cell."""
-    width = F.when(cell.isNull(), 0)
+    """The place in the lattice of the narrowest type that holds a cell. A cast that
+    fails costs an exception, so text that begins as no number does is not cast."""
+    width = F.when(cell.isNull(), 0).when(~cell.rlike(_NUMBER_BEGINS), len(LATTICE) - 1)
     for place, kind in list(enumerate(LATTICE))[1:-1]:
         width = width.when(cell.try_cast(kind).isNotNull(), place)
     return width.otherwise(len(LATTICE) - 1)
