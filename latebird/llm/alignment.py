@@ -67,7 +67,7 @@ def _byte_signs() -> dict[str, int]:
 def word_bytes(tokenizer: WordTokenizer) -> list[bytes]:
     """The bytes of each id of a byte-level vocabulary."""
     signs = _byte_signs()
-    entries = sorted((i, entry) for entry, i in tokenizer.plain.get_vocab().items())
+    entries = sorted((i, entry) for entry, i in tokenizer.parted.get_vocab().items())
     return [bytes(signs[c] for c in entry) for _, entry in entries]
 
 

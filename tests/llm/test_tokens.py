@@ -228,3 +228,14 @@ def test_manifest_lists_one_attempt(spark, documents, tmp_path):
     assert stray not in [r["path"] for r in manifest.collect()]
     assert read_token_files(spark, manifest).count() == documents.count()
     assert tokenfiles.BLOCK_IDS % 8 == 0
+
+
+def test_second_vocabulary_is_loaded_for_special_strings_only():
+    """Two copies of a vocabulary a worker took memory that most never use."""
+    own = WordTokenizer("byte_bpe_50k.json")
+    ids, _ = own.encode(pa.array(["plain words only", "and more of them"]))
+    assert len(ids) and "plain" not in vars(own)
+    text = f"before {own.mark} after"
+    ids, _ = own.encode(pa.array([text]))
+    assert "plain" in vars(own)
+    assert ids.tolist() == own.plain.encode(text, add_special_tokens=False).ids
