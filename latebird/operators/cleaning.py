@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latebird.functions.bucket import SPLIT_COLUMNS, bucket, share_of_buckets
@@ -59,6 +59,10 @@ def drop_unusable(df: DataFrame) -> DataFrame:
     return df.drop(*LEAKAGE_COLUMNS).drop(*UNINFORMATIVE_COLUMNS)
 
 
+def _in_train(train_share: float, seed: int, columns: Sequence[str]) -> Column:
+    return F.expr(f"{bucket(seed, columns)} < {share_of_buckets(train_share)}")
+
+
 def with_part(
     df: DataFrame,
     train_share: float = 0.8,
@@ -69,7 +73,7 @@ def with_part(
     """Add `train` or `test`, from a hash of the row, in one pass. Equal rows stay
     together, and the parts are the same whatever the partitioning, also when a
     task re-runs. A share that the buckets cannot represent raises."""
-    in_train = F.expr(f"{bucket(seed, columns)} < {share_of_buckets(train_share)}")
+    in_train = _in_train(train_share, seed, columns)
     return df.withColumn(name, F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
 
 
@@ -80,10 +84,11 @@ def hash_split(
     columns: Sequence[str] = SPLIT_COLUMNS,
 ) -> tuple[DataFrame, DataFrame]:
     """The train and the test part of `with_part`. Each part that is used reads
-    the source; where one pass should give both, use `with_part`."""
-    parted = with_part(df, train_share, seed, columns, "_part")
-    train, test = (parted.where(F.col("_part") == p).drop("_part") for p in ("train", "test"))
-    return train, test
+    the source; where one pass should give both, use `with_part`. A bucket is
+    never null, so the condition itself, which is shorter in generated code than
+    a comparison of the parts' names, gives the same rows."""
+    in_train = _in_train(train_share, seed, columns)
+    return df.where(in_train), df.where(~in_train)
 
 
 def random_split(

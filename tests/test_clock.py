@@ -123,3 +123,22 @@ def test_stages_equal_operators(flights):
     expected = timefeatures.drop_clock_columns(timefeatures.split_clock_columns(direct))
     assert split.columns == expected.columns
     assert split.exceptAll(expected).isEmpty()
+
+
+def test_departure_is_built_once(make_flights):
+    """The same as a branch for 2400 and one for the rest, each building a timestamp,
+    which made the scoring method too long for the JVM to compile."""
+    times = [0, 59, 100, 2359, 2360, 2400, 2401, 2500, -5, -100, -2400, None]
+    days = [(2006, 12, 31), (2007, 2, 29), (None, 1, 1)]
+    df = make_flights(
+        *[{"CRSDepTime": t, "Year": y, "Month": m, "DayofMonth": d} for t in times for y, m, d in days]
+    )
+    at = "try_make_timestamp_ntz(Year, Month, DayofMonth, {}, {}, 0)"
+    branches = (
+        f"CASE WHEN CRSDepTime = 2400 THEN {at.format(0, 0)} + INTERVAL 1 DAY ELSE "
+        f"{at.format('CAST(floor(CRSDepTime / 100) AS INT)', 'CAST(CRSDepTime % 100 AS INT)')} END"
+    )
+    got = df.select(F.expr(clock.departure()).alias("own"), F.expr(branches).alias("wanted")).collect()
+    assert [r["own"] for r in got] == [r["wanted"] for r in got]
+    assert sum(r["own"] is not None for r in got) == 5
+    assert clock.departure().count("try_make_timestamp_ntz") == 1
