@@ -31,7 +31,7 @@ from latebird.plans.fold_statistics import FOLD, FoldStatistics, fold_statistics
 from latebird.plans.nested import ParamPoint, SharedFit, shared_fits, with_predictions
 from latebird.plans.recipes import DETAILED, Recipe
 from latebird.schema import LABEL, PREDICTION
-from latebird.session import drop_staged, shared_dir, stage_table
+from latebird.session import drop_staged, shared_dir, stage_table, storage_bytes
 
 DEFAULT_SEED = 89
 #: Levels from which trees keep the rows' nodes.
@@ -39,6 +39,13 @@ DEEP = 8
 #: Model rows that one task reads. What a fit keeps of a row, a number for each
 #: slot of its vector and more, is many times what the row takes in its file.
 ROWS_A_TASK = 200_000
+#: Bytes that a fit keeps of a row: a binned number for each slot of its vector, and
+#: the row's objects, label, weight and draws; and that an encoded row takes, by
+#: category or numeric and besides. Estimates.
+SLOT_BYTES, FIT_BYTES = 4, 180
+VALUE_BYTES, ENCODED_BYTES = 12, 60
+#: The part of the executors' storage that running fits may take.
+STORAGE_SHARE = 0.8
 
 
 def decision_tree(seed: int = DEFAULT_SEED, **params: Any) -> DecisionTreeRegressor:
@@ -192,6 +199,26 @@ def _in_threads(
         return pool.map(inheritable_thread_target(spark)(work), items)
 
 
+def runs_at_a_time(
+    storage: int, rows: int, slots: int, values: int, folds: int, fits: int, cached: bool = True
+) -> tuple[int, int]:
+    """How many folds to run at a time, at most `folds`, and fits within each, at most
+    `fits`, so that what they keep stays within the executors' `storage` bytes. Fits
+    that run side by side beyond it push one another's rows out, and each pass of
+    each fit then reads them from disk. One fold and one fit always run.
+
+    A fold keeps its encoded rows of `values` categories and numerics (`cached`; else
+    they are in the shared folder), and each fit in it `slots` numbers a row."""
+    encoded = rows * (VALUE_BYTES * values + ENCODED_BYTES) if cached else 0
+    one_fit = rows * (SLOT_BYTES * slots + FIT_BYTES)
+    room = max(storage * STORAGE_SHARE, 1)
+    while folds > 1 and folds * (encoded + fits * one_fit) > room:
+        folds -= 1
+    while fits > 1 and encoded + fits * one_fit > room:
+        fits -= 1
+    return folds, fits
+
+
 def _fit_all(
     encoded: DataFrame, jobs: Sequence[tuple[Candidate, ParamPoint]], parallelism: int
 ) -> list[Model]:
@@ -268,6 +295,33 @@ def _kept(encoded: DataFrame, storage: StorageLevel | None) -> Iterator[DataFram
             encoded.unpersist()
 
 
+def _within_storage(
+    rows: DataFrame,
+    recipe: Recipe,
+    encoder: PipelineModel,
+    parallel_folds: int,
+    parallelism: int,
+    storage: StorageLevel | None,
+    folds: int | None = None,
+) -> tuple[int, int]:
+    """`runs_at_a_time` for fits on `rows`, or, with `folds`, on all folds but one."""
+    if parallel_folds <= 1 and parallelism <= 1:
+        return parallel_folds, parallelism
+    n = rows.count()  # a staged table: read from the footers
+    if folds is not None and folds > 1:
+        n = n * (folds - 1) // folds
+    values = len(recipe.categories) + len(recipe.numerics)
+    return runs_at_a_time(
+        storage_bytes(rows.sparkSession), n, _slots(rows, encoder), values, parallel_folds, parallelism, storage is not None
+    )
+
+
+def _slots(rows: DataFrame, encoder: PipelineModel) -> int:
+    """The length of the feature vector, as the encoded table's schema tells it."""
+    encoded = _encode(encoder, rows)
+    return encoded.schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs", 0)
+
+
 def fit_encoder(rows: DataFrame, recipe: Recipe) -> PipelineModel:
     """Fit a recipe's encoder; `rows` should be a stored table, since each
     learning stage reads it once."""
@@ -304,16 +358,19 @@ def cross_validate(
     the regressors are fitted: cheaper, but held-out rows have then had a part in
     the encoding.
 
-    `parallelism` is the number of fits running at a time within a fold, and
-    `parallel_folds` that of folds; each running fold keeps its encoded rows, so
-    `parallel_folds` times nearly the whole training set is held at once. Where
-    the executors' storage does not take that, lower it, or give `storage=None`:
-    encoded rows then go to the shared folder.
+    `parallelism` is the most fits running at a time within a fold, and
+    `parallel_folds` the most folds; each running fold keeps its encoded rows, and
+    each fit their binned form. Fewer run at a time where the executors' storage
+    would not take that (`runs_at_a_time`). With `storage=None` encoded rows go to
+    the shared folder.
     """
     jobs = [(candidate, point) for candidate in tried for point in candidate.grid]
     fits = _all_fits(tried, nested)
     if prefitted is None and statistics is None:
         statistics = fold_statistics(rows, recipe, folds)
+    parallel_folds, parallelism = _within_storage(
+        rows, recipe, prefitted or statistics.encoder(0), parallel_folds, parallelism, storage, folds
+    )
 
     def one_fold(number: int) -> list[tuple[float, float]]:
         encoder = prefitted or statistics.encoder(number)
@@ -434,6 +491,7 @@ def compare_models(
         )
         chosen = best_points(results)
         encoder = statistics.encoder()
+        _, parallelism = _within_storage(rows, recipe, encoder, 1, parallelism, storage)
         with _kept(_encode(encoder, rows), storage) as encoded:
             fitted = _fit_all(encoded, [(c.candidate, c.point) for c in chosen], parallelism)
     finally:

@@ -1,5 +1,7 @@
 """Training, cross-validation, comparison, scoring."""
 
+import re
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -264,3 +266,60 @@ def test_cluster_refuses_a_machines_own_folder(monkeypatch):
         session.shared_dir(Session())
     Session.conf[session.MOUNTED] = "true"
     assert session.shared_dir(Session()) == "file:///tmp/x"
+
+
+@pytest.mark.parametrize("require_label", [False, True])
+def test_scoring_method_is_compiled(spark, parts, tree, require_label):
+    """The JVM interprets generated methods of more than 8,000 bytes."""
+    for part in parts:
+        scored = score_batch(tree, part, require_label=require_label).select("ArrDelay", "prediction")
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        code = debug.codegenString(scored._jdf.queryExecution().executedPlan())
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+        assert sizes and max(sizes) < 8_000
+
+
+def test_fits_at_a_time_keep_within_storage():
+    encoded, one_fit = 1_000 * (12 * 21 + 60), 1_000 * (4 * 132 + 180)
+    held = lambda folds, fits: folds * (encoded + fits * one_fit)
+    for storage in (0, held(1, 1), held(1, 2), held(2, 3), held(3, 3), 10 * held(3, 3)):
+        folds, fits = training.runs_at_a_time(storage, 1_000, 132, 21, 3, 3)
+        assert (folds, fits) == (1, 1) or held(folds, fits) <= 0.8 * storage
+    assert training.runs_at_a_time(10 * held(3, 3), 1_000, 132, 21, 3, 3) == (3, 3)
+    assert training.runs_at_a_time(0, 1_000, 132, 21, 3, 3) == (1, 1)
+
+
+def test_little_storage_runs_one_fit_at_a_time(parts, monkeypatch):
+    """The same results, and no more sets of rows held than there is room for."""
+    tree = training.decision_tree(maxDepth=3)
+    tried = [training.Candidate("a", tree), training.Candidate("b", training.decision_tree(maxDepth=2))]
+    rows, path = training.stage_folds(parts[0], COMPACT, 2)
+    threads, run = [], training._in_threads
+
+    def noted(spark, work, items, at_a_time):
+        threads.append(at_a_time)
+        return run(spark, work, items, at_a_time)
+
+    monkeypatch.setattr(training, "_in_threads", noted)
+    found = []
+    try:
+        for storage in (10**12, 1):
+            monkeypatch.setattr(training, "storage_bytes", lambda spark, n=storage: n)
+            results = training.cross_validate(rows, COMPACT, tried, folds=2, parallelism=2, parallel_folds=2)
+            found.append([(round(r.rmse, 9), round(r.mae, 9)) for r in results])
+            threads.append("end")
+    finally:
+        drop_staged(rows.sparkSession, path)
+    assert found[0] == found[1]
+    assert threads == [2, 2, 2, "end", 1, 1, 1, "end"]
+
+
+def test_regressors_share_rows_and_encoder(parts, monkeypatch):
+    encoders, fit = [], training.fit_encoder
+    monkeypatch.setattr(training, "fit_encoder", lambda *a: encoders.append(1) or fit(*a))
+    forests = [training.random_forest(numTrees=3, maxDepth=3, bootstrap=b) for b in (False, True)]
+    together = training.train_models(parts[0], forests, COMPACT)
+    assert len(encoders) == 1
+    for estimator, model in zip(forests, together):
+        alone = training.train_model(parts[0], estimator, COMPACT)
+        assert _same_predictions(score_batch(alone, parts[1]), score_batch(model, parts[1]))
