@@ -11,6 +11,7 @@ from latebird.operators.encoding import FEATURES
 from latebird.plans import histograms, training
 from latebird.plans.recipes import COMPACT, DETAILED, SELECTED
 from latebird.schema import LABEL
+from latebird.session import drop_staged
 
 
 @pytest.fixture(scope="module", params=["compact", "detailed"])
@@ -172,3 +173,29 @@ def test_other_encoders_are_not_taken_apart(flights):
     train = flights.dropna(subset=["TaxiOut", "DepDelay", "CRSElapsedTime"])
     rows = training.model_rows(train, SELECTED)
     assert histograms.rows_to_encode(rows, training.fit_encoder(rows, SELECTED), LABEL, FEATURES) is None
+
+
+def test_rows_encoded_once_give_the_same_folds(flights):
+    """Folds of encoded rows, and of rows with an encoder, measure the same."""
+    rows, path = training.stage_folds(flights, COMPACT, 3)
+    encoder = training.fit_encoder(rows, COMPACT)
+    encoded, encoded_path = training.stage_encoded(rows, encoder)
+    made = []
+
+    class Encoder:
+        def transform(self, df):
+            made.append(1)
+            return encoder.transform(df)
+
+    tree = training.decision_tree()
+    tried = [training.Candidate("tree", tree, training.param_grid(tree, {"maxDepth": [2, 4]}))]
+    try:
+        assert sorted(encoded.columns) == sorted([LABEL, FEATURES, training.FOLD])
+        once = training.cross_validate(encoded, COMPACT, tried, prefitted=Encoder())
+        again = training.cross_validate(rows, COMPACT, tried, prefitted=encoder)
+    finally:
+        drop_staged(flights.sparkSession, path)
+        drop_staged(flights.sparkSession, encoded_path)
+    assert not made
+    assert [r.rmse for r in once] == pytest.approx([r.rmse for r in again], rel=1e-9)
+    assert [r.mae for r in once] == pytest.approx([r.mae for r in again], rel=1e-9)
